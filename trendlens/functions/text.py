@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 # Fixed value: marker that the article feed puts in place of text behind a paywall.
 PAYWALL_MARKER = "ONLY AVAILABLE IN PAID PLANS"
 
-# Patterns removed while cleaning.
+# Patterns removed while cleaning. White space is listed code point by code point
+# because regex engines differ on what \s holds beyond ASCII.
 HTML_TAG = r"<[^>]+>"
-URL = r"http[s]?://\S+|www\.\S+"
-WHITESPACE = r"(?U)\s+"
+_SPACE = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+URL = rf"http[s]?://[^{_SPACE}]+|www\.[^{_SPACE}]+"
+WHITESPACE = rf"[{_SPACE}]+"
 
 # Anything that is neither letter, digit nor underscore separates words.
 WORD_BREAK = r"[^\p{L}\p{N}_]+"
@@ -62,11 +64,7 @@ def lead(col: Column, chars: int | None) -> Column:
 
 def parse_ts(col: Column) -> Column:
     """Timestamp without zone, NULL when the text is no timestamp."""
-    return F.expr(f"try_cast({_sql(col)} AS TIMESTAMP_NTZ)") if isinstance(col, str) else col.try_cast("timestamp_ntz")
-
-
-def _sql(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+    return col.try_cast("timestamp_ntz")
 
 
 def clean_title(col: Column) -> Column:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendlens.session import cut_lineage
 from trendlens.sources.adapters import VIEWS_SQL
 
 # Kinds of output columns, one letter each: s text, i integer, d double, b boolean.
@@ -54,6 +55,16 @@ class Query:
 
 REGISTRY: dict[str, Query] = {}
 
+_STAGES: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stage(name: str, spark: SparkSession, folder: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """Materialised intermediate table of one session, built on first use."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _STAGES:
+        _STAGES[key] = cut_lineage(build(spark, folder))
+    return _STAGES[key]
+
 
 def columns(spec: str) -> tuple[tuple[str, str], ...]:
     """``"date:s total:i"`` -> (("date", "s"), ("total", "i"))."""

@@ -128,3 +128,8 @@ def group_percentiles(df: DataFrame, by: Sequence[str], value: str, quantiles: d
         a, b, f = (F.col(f"__a{3 * i + j}") for j in range(3))
         cols.append((a + (b - a) * f).alias(name))
     return out.select(*by, *cols)
+
+
+def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """``df`` with a broadcast hint if it is counted to hold at most ``max_rows`` rows, else as it is."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
