@@ -117,14 +117,14 @@ query("dup4_cosine_pairs", "a:i b:i cosine:d", f"WITH {pairs_sql('docs', 0.70)}\
 @query("dup4_cosine_pairs_dense", "a:i b:i cosine:d", """
 SELECT x.vec_id AS a, y.vec_id AS b, round(list_cosine_similarity(x.embedding::DOUBLE[], y.embedding::DOUBLE[]), 6) AS cosine
 FROM embeddings x JOIN embeddings y ON x.vec_id < y.vec_id
-WHERE round(list_cosine_similarity(x.embedding::DOUBLE[], y.embedding::DOUBLE[]), 6) >= 0.85""")
+WHERE round(list_cosine_similarity(x.embedding::DOUBLE[], y.embedding::DOUBLE[]), 6) >= 0.40""")
 def dup4_dense(spark, sf):
     vectors = table(spark, sf, "embeddings")
     _, model = topics.cluster_docs(vectors, 16)
-    return similarity.dense_pairs(vectors, [list(c) for c in model.clusterCenters()], 0.85)
+    return similarity.dense_pairs(vectors, [list(c) for c in model.clusterCenters()], 0.40)
 
 
-query("dup4_cosine_pairs_lsh", "a:i b:i cosine:d")(lambda spark, sf: similarity.dense_pairs_lsh(table(spark, sf, "embeddings"), 0.85))
+query("dup4_cosine_pairs_lsh", "a:i b:i cosine:d")(lambda spark, sf: similarity.dense_pairs_lsh(table(spark, sf, "embeddings"), 0.40))
 
 
 @query("dup5_mark_semantic_copies", _MARK, f"WITH {SPREAD_SQL}\nRESULT SELECT * FROM spr")
