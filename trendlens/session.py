@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +56,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of ``df``: later rounds of an iteration do not replay earlier ones."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """New folder name for intermediate files, next to the checkpoints on the shared store."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"

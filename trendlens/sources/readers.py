@@ -15,24 +15,24 @@ RAW_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in
 SCRAPED_FIELDS = ("title", "text", "description", "content", "publishedAt", "source", "url")
 
 
-def read_raw_articles(spark: SparkSession, glob: str) -> DataFrame:
-    """All raw batch files, one JSON array each, with file name and position inside the file.
+def read_raw_articles(spark: SparkSession, glob: str, multi_line: bool = True) -> DataFrame:
+    """All raw batch files with file name and position: one JSON array per file, or per line.
 
-    A file that cannot be parsed contributes no rows; :func:`unreadable_files` lists them.
+    A file (or line) that cannot be parsed contributes no rows; :func:`unreadable_files` lists them.
     """
-    return _raw(spark, glob).where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    return _raw(spark, glob, multi_line).where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 
 def unreadable_files(spark: SparkSession, glob: str) -> DataFrame:
-    return _raw(spark, glob).where(F.col("_corrupt_record").isNotNull()).select("file").distinct()
+    return _raw(spark, glob, True).where(F.col("_corrupt_record").isNotNull()).select("file").distinct()
 
 
-def _raw(spark: SparkSession, glob: str) -> DataFrame:
+def _raw(spark: SparkSession, glob: str, multi_line: bool) -> DataFrame:
     # A JSON array is parsed by one task as a whole, so its records come out in file order.
     schema = T.StructType([*RAW_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType())])
     return (
         spark.read.schema(schema)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("ignoreCorruptFiles", True)
         .json(glob)
@@ -40,14 +40,14 @@ def _raw(spark: SparkSession, glob: str) -> DataFrame:
     )
 
 
-def read_scraped_articles(spark: SparkSession, path: str) -> DataFrame:
+def read_scraped_articles(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Scraped corpus: an array of articles, or an object with an ``articles`` array.
 
     ``source`` may be a string or an object with a ``name``.
     """
     item = T.StructType([T.StructField(n, T.StringType()) for n in SCRAPED_FIELDS])
     schema = T.StructType([*item.fields, T.StructField("articles", T.ArrayType(item))])
-    raw = spark.read.schema(schema).option("multiLine", True).option("ignoreCorruptFiles", True).json(path)
+    raw = spark.read.schema(schema).option("multiLine", multi_line).option("ignoreCorruptFiles", True).json(path)
     pos = F.monotonically_increasing_id()
     numbered = raw.select("*", pos.alias("__pos"))
     flat = numbered.where(F.col("articles").isNull()).select(*SCRAPED_FIELDS, F.col("__pos"), F.lit(0).alias("__i"))

@@ -28,7 +28,8 @@ def write_stage_table(df: DataFrame, path: str, fmt: str = "parquet", partition_
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer.option("header", True).option("escape", '"').csv(path)
+        options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        writer.options(**options).csv(path)
     else:
         writer.format(fmt).save(path)
 
