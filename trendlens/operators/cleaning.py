@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trendlens.functions import text as tx
 from trendlens.operators import dedup
 from trendlens.operators.ingest import ARTICLE_KEY, merge_append
+from trendlens.session import cut_lineage
 from trendlens.sources.readers import source_name
 
 
@@ -59,7 +60,8 @@ def clean_articles(df: DataFrame, existing: DataFrame | None = None, detect_spre
     fresh = rows.select(id_col, "title", F.col("clean_text").alias("text"), "publishedAt", "source")
     base = fresh.limit(0) if existing is None else existing.select(id_col, "title", "text", "publishedAt", "source")
     merged = merge_append(base, fresh, order=id_col)
-    return dedup.detect_duplicates_and_spread(merged, threshold, id_col=id_col) if detect_spread else merged
+    # the copy detector reads its input several times; cleaning should run once
+    return dedup.detect_duplicates_and_spread(cut_lineage(merged), threshold, id_col=id_col) if detect_spread else merged
 
 
 def build_topic_doc(df: DataFrame, lead_chars: int = 1200, use_title: bool = True) -> DataFrame:

@@ -12,12 +12,14 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlens.functions.labels import risk_level
@@ -36,10 +38,11 @@ def scaler_parameters(df: DataFrame, cols: Sequence[str], kind: str = "standard"
 
     A scale of 0 becomes 1. Quartiles are exact and interpolated.
     """
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in cols])).alias("x")).select("x.*")
     if kind == "standard":
-        out = long.groupBy("name").agg(F.avg("value").alias("center"), F.stddev_pop("value").alias("scale"))
+        stats = df.agg(*[F.struct(F.lit(c).alias("name"), F.avg(c).alias("center"), F.stddev_pop(c).alias("scale")).alias(f"s{i}") for i, c in enumerate(cols)])
+        out = stats.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(cols))])).alias("x")).select("x.*")
     else:
+        long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in cols])).alias("x")).select("x.*")
         q = group_percentiles(long, ["name"], "value", {"q1": 0.25, "center": 0.5, "q3": 0.75})
         out = q.select("name", "center", (F.col("q3") - F.col("q1")).alias("scale"))
     return out.withColumn("scale", F.when(F.col("scale") == 0, 1.0).otherwise(F.col("scale")))
@@ -76,37 +79,42 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     return df.join(F.broadcast(table), F.col(label) == F.col("__l")).drop("__l")  # one row per class
 
 
-def _unit(*cols: Column | str) -> Column:
-    """Number in [0, 1) from a hash, so that a retried task draws the same."""
-    return F.pmod(F.xxhash64(*cols), F.lit(1 << 30)) / float(1 << 30)
-
-
 def smote(df: DataFrame, cols: Sequence[str], label: str = "label", by: Sequence[str] = (), k: int = 5, seed: int = SEED) -> DataFrame:
     """Balance each series by interpolating between minority days and their nearest minority days.
 
-    Neighbours are searched inside a series, whose minority rows are bounded by its days. A series
-    with fewer than two minority rows stays as it is.
+    Neighbours are searched inside a series, so a task holds the minority days of one series, which
+    the calendar bounds. A series with fewer than two minority rows stays as it is.
     """
-    series = F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
-    rows = df.select(*by, "date", label, *cols).withColumn("series", F.xxhash64(series) if by else series)
-    counts = rows.groupBy("series").agg(F.count_if(F.col(label) == 1).alias("ones"), F.count_if(F.col(label) == 0).alias("zeros"))
-    counts = counts.withColumn("minority", F.when(F.col("ones") <= F.col("zeros"), 1).otherwise(0))
-    counts = counts.withColumn("m", F.least("ones", "zeros")).withColumn("need", F.abs(F.col("ones") - F.col("zeros")))
-    few = rows.join(counts, "series").where((F.col(label) == F.col("minority")) & (F.col("m") >= 2) & (F.col("need") > 0))
-    few = few.select("series", *by, "date", label, "m", "need", F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
-    few = cut_lineage(few.withColumn("r", F.row_number().over(Window.partitionBy("series").orderBy("date")) - 1))
-    other = few.select(F.col("series").alias("s2"), F.col("r").alias("r2"), F.col("x").alias("x2"))
-    gap = F.aggregate(F.zip_with("x", "x2", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
-    near = few.join(other, (F.col("series") == F.col("s2")) & (F.col("r") != F.col("r2"))).select("series", "r", "x2", gap.alias("gap"), "r2")
-    near = near.withColumn("rank", F.row_number().over(Window.partitionBy("series", "r").orderBy("gap", "r2")) - 1).where(F.col("rank") < k)
-    copies = F.floor(F.col("need") / F.col("m")) + (F.col("r") < F.col("need") % F.col("m")).cast("int")
-    made = few.withColumn("copies", copies.cast("int")).where("copies > 0").withColumn("i", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    pick = F.floor(_unit("series", "r", "i", F.lit(seed)) * F.least(F.lit(k), F.col("m") - 1)).cast("int")
-    made = made.withColumn("rank", pick).withColumn("u", _unit("series", "r", "i", F.lit(seed + 1)))
-    made = made.join(near.select("series", "r", "rank", "x2"), ["series", "r", "rank"])
-    mixed = made.select(*by, "date", label, F.zip_with("x", "x2", lambda a, b: F.struct(a.alias("a"), b.alias("b"))).alias("z"), "u")
-    synthetic = mixed.select(*by, "date", label, *[(F.col("z")[i]["a"] + F.col("u") * (F.col("z")[i]["b"] - F.col("z")[i]["a"])).alias(c) for i, c in enumerate(cols)])
-    return df.select(*by, "date", label, *[F.col(c).cast("double").alias(c) for c in cols]).unionByName(synthetic)
+    key = list(by) or [F.lit(0).alias("__all")]
+    names = [c if isinstance(c, str) else "__all" for c in key]
+    base = df.select(*by, "date", label, *[F.col(c).cast("double").alias(c) for c in cols])
+    counts = base.groupBy(*key).agg(F.count_if(F.col(label) == 1).alias("ones"), F.count_if(F.col(label) == 0).alias("zeros"))
+    counts = counts.select(*[F.col(n).alias(f"__k{i}") for i, n in enumerate(names)], F.when(F.col("ones") <= F.col("zeros"), 1).otherwise(0).alias("__minority"),
+                           F.least("ones", "zeros").alias("__m"), F.abs(F.col("ones") - F.col("zeros")).alias("__need"))
+    same = F.lit(True)
+    for i, n in enumerate(by):
+        same = same & F.col(n).eqNullSafe(F.col(f"__k{i}"))
+    few = base.join(counts if by else F.broadcast(counts), same)  # one row when there is one series
+    few = few.where((F.col(label) == F.col("__minority")) & (F.col("__m") >= 2) & (F.col("__need") > 0)).drop(*[f"__k{i}" for i in range(len(names))], "__minority", "__m")
+    features_ = list(cols)
+
+    def interpolate(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("date").reset_index(drop=True)
+        x = pdf[features_].to_numpy(dtype=np.float64)
+        m, need = len(pdf), int(pdf["__need"].iloc[0])
+        squares = (x * x).sum(axis=1)
+        gaps = squares[:, None] + squares[None, :] - 2 * (x @ x.T)
+        np.fill_diagonal(gaps, np.inf)
+        near = np.argsort(gaps, axis=1, kind="stable")[:, : min(k, m - 1)]
+        rng = np.random.default_rng([seed, m, need])  # the same draw when a task is run again
+        start = np.arange(need) % m
+        other = near[start, rng.integers(0, near.shape[1], need)]
+        out = pdf.iloc[start].drop(columns="__need").reset_index(drop=True)
+        out[features_] = x[start] + rng.random(need)[:, None] * (x[other] - x[start])
+        return out
+
+    made = few.groupBy(*by).applyInPandas(interpolate, base.schema)
+    return base.unionByName(made)
 
 
 # --- models -------------------------------------------------------------------------------------

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlens.operators import cleaning, features, forecasting, scorecard, sentiment, similarity, summary, topics
+from trendlens.session import cut_lineage
 from trendlens.sources.readers import read_stage_table
 from trendlens.sources.writers import write_report, write_stage_table
 
@@ -28,8 +30,9 @@ def topic_vectors(df: DataFrame, width: int = 1 << 12) -> DataFrame:
 def add_topics(df: DataFrame, k: int, stop: list[str] | None = None) -> DataFrame:
     """Cluster the topic documents, mark outliers and attach labels from class TF-IDF."""
     docs = cleaning.build_topic_doc(df)
-    clustered, _ = topics.cluster_docs(topic_vectors(docs, 256), k)
-    marked = topics.mark_outliers(clustered).drop("embedding", "distance")
+    # clustering passes over the vectors many times
+    clustered, _ = topics.cluster_docs(cut_lineage(topic_vectors(docs, 256)), k)
+    marked = cut_lineage(topics.mark_outliers(cut_lineage(clustered)).drop("embedding", "distance"))
     stop = topics.stopwords() if stop is None else stop
     counts = topics.vectorise_terms(marked, "doc", "topic", stop, min_df=1, max_df=0.75)
     labels = topics.topic_labels(topics.top_terms(topics.class_tfidf(counts)), stop)
@@ -46,7 +49,9 @@ def run_batch(spark: SparkSession, raw: DataFrame, out: str, existing: DataFrame
     done: dict[str, str] = {}
 
     def stage(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        start = time.time()
         write_stage_table(build(), f"{out}/{name}")
+        log.info("%s written in %.1f s", name, time.time() - start)
         done[name] = "ok"
         return read_stage_table(spark, f"{out}/{name}")
 

@@ -8,13 +8,13 @@ from trendlens.functions.labels import similarity_category
 from trendlens.functions.text import dup_text
 from trendlens.operators import dedup, similarity, spread, topics
 from trendlens.plans.registry import query, stage
-from trendlens.sources.adapters import articles_from_documents, table
+from trendlens.sources.adapters import document_articles, table
 
 ID = "article_id"
 
 
 def docs(spark, sf):
-    return articles_from_documents(spark, sf).select(ID, "title", "text", "publishedAt", "source")
+    return document_articles(spark, sf).select(ID, "title", "text", "publishedAt", "source")
 
 
 def whole(spark, sf):
