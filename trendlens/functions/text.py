@@ -76,11 +76,6 @@ def words(col: Column) -> Column:
     return F.filter(F.split(F.lower(text_or_empty(col)), WORD_BREAK), lambda w: w != "")
 
 
-def ascii_terms(col: Column) -> Column:
-    """Words of two or more ASCII letters."""
-    return F.filter(words(col), lambda w: w.rlike("^[a-z][a-z]+$"))
-
-
 def dup_text(title: Column, text: Column, max_chars: int | None = None, title_only: bool = False) -> Column:
     """Text compared by the copy detector: title, a space and the (leading part of the) text."""
     if title_only:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.functions.text import collapse_ws, lead, text_or_empty, word_count, words
+from trendlens.session import cut_lineage
 
 SENTENCE = r"[^.!?]+[.!?]*"
 
@@ -34,11 +35,12 @@ def summarise(df: DataFrame, max_words: int = 130, min_words: int = 30, max_char
     sentences = rows.where(F.col("summary_input") != "").select(
         F.col(id_col).alias("id"), F.posexplode(F.regexp_extract_all(collapse_ws(F.col("summary_input")), F.lit(SENTENCE), 0)).alias("pos", "raw"))
     sentences = sentences.select("id", "pos", F.trim("raw").alias("sentence")).where(F.col("sentence") != "")
+    sentences = cut_lineage(sentences)  # split once, read by scoring and by selection
     tokens = sentences.select("id", "pos", F.explode(words(F.col("sentence"))).alias("term"))
     counted = tokens.groupBy("id", "pos", "term").agg(F.count(F.lit(1)).alias("k"))
-    counted = counted.withColumn("tf", F.sum("k").over(Window.partitionBy("id", "term")))
-    freq = counted.groupBy("term").agg(F.count_distinct("id").alias("df"))
-    total = sentences.agg(F.count_distinct("id").alias("docs"))
+    counted = cut_lineage(counted.withColumn("tf", F.sum("k").over(Window.partitionBy("id", "term"))))
+    freq = counted.select("id", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    total = sentences.select("id").distinct().agg(F.count(F.lit(1)).alias("docs"))
     idf = F.log((F.col("docs") + 1.0) / (F.col("df") + 1.0)) + 1.0
     scored = (
         counted.join(freq, "term").join(F.broadcast(total), F.lit(True))  # one row of N
