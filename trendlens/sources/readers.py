@@ -20,11 +20,17 @@ def read_raw_articles(spark: SparkSession, glob: str, multi_line: bool = True) -
 
     A file (or line) that cannot be parsed contributes no rows; :func:`unreadable_files` lists them.
     """
-    return _raw(spark, glob, multi_line).where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    return _raw(spark, glob, multi_line).where(F.col("_corrupt_record").isNull() | _has_data()).drop("_corrupt_record")
 
 
 def unreadable_files(spark: SparkSession, glob: str) -> DataFrame:
-    return _raw(spark, glob, True).where(F.col("_corrupt_record").isNotNull()).select("file").distinct()
+    return _raw(spark, glob, True).where(F.col("_corrupt_record").isNotNull() & ~_has_data()).select("file").distinct()
+
+
+def _has_data():
+    """Some field was parsed. Also keeps a data column in the filter: Spark refuses to read the
+    corrupt-record column alone, as a bare count would."""
+    return F.coalesce(*RAW_SCHEMA.fieldNames()).isNotNull()
 
 
 def _raw(spark: SparkSession, glob: str, multi_line: bool) -> DataFrame:
