@@ -37,8 +37,13 @@ def collapse_ws(col: Column) -> Column:
 
 def word_count(col: Column) -> Column:
     """Whitespace-separated tokens; 0 for NULL and blank text."""
-    flat = collapse_ws(text_or_empty(col))
-    return F.when(flat == "", F.lit(0)).otherwise(F.size(F.split(flat, " "))).cast("long")
+    return flat_word_count(collapse_ws(text_or_empty(col)))
+
+
+def flat_word_count(flat: Column) -> Column:
+    """Words of a text whose words are parted by single spaces: one more than it has spaces."""
+    spaces = F.length(flat) - F.length(F.replace(flat, F.lit(" "), F.lit("")))
+    return F.when(flat == "", F.lit(0)).otherwise(spaces + 1).cast("long")
 
 
 def is_paywalled(col: Column) -> Column:
