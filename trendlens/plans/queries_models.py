@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trendlens.functions.labels import risk_level
-from trendlens.operators import daily, features, forecasting, ingest, serving, windows
+from trendlens.operators import daily, features, forecasting, serving, windows
 from trendlens.operators.sentiment import score_with_lexicon
 from trendlens.plans import batch_job
-from trendlens.plans.queries_series import ALL_CTE, CLASS_SQL, FEA5_SPEC, SPIKE_CTE, events_daily, orders_daily
+from trendlens.plans.queries_series import CLASS_SQL, SPIKE_CTE, events_daily, orders_daily
 from trendlens.plans.queries_text import feed
 from trendlens.plans.registry import query, stage
 from trendlens.session import scratch_path
 from trendlens.sources import readers, writers
-from trendlens.sources.adapters import articles_from_documents, articles_from_events, orders_as_articles, table
+from trendlens.sources.adapters import articles_from_documents, orders_as_articles, table
 from trendlens.streaming import jobs
 
 BY = ["source"]
@@ -176,9 +176,6 @@ def ml16(spark, sf):
     return model.importance(spark, "boosted", 15)
 
 
-_H = {"positive": "positive_pct", "negative": "negative_pct", "neutral": "neutral_pct", "avg": "avg_sentiment"}
-
-
 @query("ml17_next_day_features", "source:s date:s avg_sentiment_lag_1d:d avg_sentiment_lag_7d:d positive_pct_rolling_3d:d avg_sentiment_rolling_7d:d "
        "sentiment_volatility_7d:d sentiment_momentum:d positive_trend:d day_of_week:i dominant_lag_2d:d", f"""
 WITH {CLASS_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY date DESC) AS b FROM dom)

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trendlens.functions import labels
-from trendlens.functions.text import PAYWALL_MARKER, WHITESPACE
-from trendlens.operators import cleaning, daily, dashboard, metrics, scorecard, sentiment, summary, topics, windows
+from trendlens.functions.text import WHITESPACE
+from trendlens.operators import dashboard, metrics, scorecard, sentiment, summary, topics, windows
 from trendlens.plans.queries_copies import SPREAD_SQL, spread_table
-from trendlens.plans.queries_series import events_daily, orders_daily
+from trendlens.plans.queries_series import orders_daily
 from trendlens.plans.registry import query, stage
-from trendlens.sources.adapters import articles_from_documents, articles_from_events, orders_as_articles, table
+from trendlens.sources.adapters import articles_from_documents, articles_from_events, table
 
 ID = "article_id"
 
@@ -101,7 +100,7 @@ query("sen4_confidence_report", "mean_confidence:d low_confidence:i",
 query("sen5_sentiment_distribution", "sentiment:s count:i", "SELECT sentiment, count(*) AS count FROM docs GROUP BY 1")(
     lambda spark, sf: sentiment.sentiment_distribution(docs(spark, sf)))
 query("sen6_sentiment_numeric", "article_id:i known:d strict:d", """
-SELECT article_id, CASE source WHEN 'negative' THEN -1 WHEN 'positive' THEN 1 ELSE CASE sentiment WHEN 'negative' THEN -1 WHEN 'positive' THEN 1 ELSE 0 END END AS known,
+SELECT article_id, CASE sentiment WHEN 'negative' THEN -1 WHEN 'positive' THEN 1 ELSE 0 END AS known,
   CASE sentiment WHEN 'negative' THEN -1 WHEN 'positive' THEN 1 WHEN 'neutral' THEN 0 END AS strict FROM docs""")(
     lambda spark, sf: docs(spark, sf).select(ID, labels.sentiment_numeric(F.col("sentiment")).alias("known"),
                                              labels.sentiment_numeric(F.col("sentiment"), None).alias("strict")))
