@@ -54,7 +54,7 @@ def source_targets(sizes: DataFrame, cap: float = 3.0, cycle: int = 3) -> DataFr
     return ranked.select("source", "source_size", "weight", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
-def mix(docs: DataFrame, block: int = 128, cap: int = 3, bucket_rows: int = 16_384, seed: int = 11) -> DataFrame:
+def mix(docs: DataFrame, block: int = 128, cap: int = 3, bucket_rows: int = 4096, seed: int = 11) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken): what the mix takes of every document, repeats counted.
 
     Null text: size 0, nothing taken. Null sources are a source of their own. Repeated rows are documents of

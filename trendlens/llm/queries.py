@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlens.llm import mixing, simhash_trie
+from trendlens.llm import decontamination, maxscore, mixing, pseudonyms, quality, secret_scan, simhash_trie
 from trendlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,50 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_quality_cotraining(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score(docs, quality.co_train(docs, table(spark, folder, "labels")))
+
+
+@query
+def op2_maxscore_top5(spark: SparkSession, folder: str) -> DataFrame:
+    return maxscore.search_every_nth(table(spark, folder, "embeddings"))
+
+
+ORACLE["op2_maxscore_top5"] = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query
+def op3_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.verdicts(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op7_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan(table(spark, folder, "documents"))
+
+
+@query
+def op8_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pseudonyms.replace_personal_data(docs, with_counts=True)
+
+
 @query
 def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("source")
