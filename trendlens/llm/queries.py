@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlens.llm import decontamination, maxscore, mixing, pseudonyms, quality, secret_scan, simhash_trie
+from trendlens.llm import decontamination, html_blocks, maxscore, mixing, pseudonyms, quality, secret_scan, simhash_trie, toxicity
 from trendlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,17 @@ def op3_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.verdicts(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_blocks.extract(table(spark, folder, "pages"))
+
+
+@query
+def op5_toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 @query
 def op7_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan(table(spark, folder, "documents"))
