@@ -49,9 +49,12 @@ IDENTITY_GROUPS = [
 SWAP = {term: group[(i + 1) % len(group)] for group in IDENTITY_GROUPS for i, term in enumerate(group)}
 
 
-def features(text: str) -> set[str]:
-    """The words of a text and, marked by a star, their beginnings."""
-    words = set(WORD.findall(text.lower()))
+def words_of(text: str) -> set[str]:
+    return set(WORD.findall(text.lower()))
+
+
+def features(words: set[str]) -> set[str]:
+    """The words and, marked by a star, their beginnings."""
     return words.union(*({w[:k] + "*" for w in words if len(w) >= k} for k in BEGINNINGS))
 
 
@@ -69,7 +72,7 @@ class Model:
     def _lookup(self, text: str) -> set[str]:
         """Features of the text that the model knows."""
         index, out = self.index, set()
-        for w in set(WORD.findall(text.lower())):
+        for w in words_of(text):
             if w in index:
                 out.add(w)
             for k in BEGINNINGS:
@@ -94,7 +97,7 @@ def _statistics(train: DataFrame) -> DataFrame:
         for batch in it:
             counts: tuple[Counter, Counter] = (Counter(), Counter())
             for text, toxic in zip(byte_texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                counts[toxic].update(features(text.decode("utf-8", "replace")))
+                counts[toxic].update(features(words_of(text.decode("utf-8", "replace"))))
             names = list(counts[0].keys() | counts[1].keys())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([counts[1][n] for n in names], pa.int64()), pa.array([counts[0][n] for n in names], pa.int64())], names=["feature", "toxic", "clean"])
 
@@ -126,10 +129,10 @@ def _examples(train: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, n
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own, other = [], []
         for text in byte_texts(batch.column(1)):
-            words = features(text.decode("utf-8", "replace"))
-            own.append(model.vector(words))
+            words = words_of(text.decode("utf-8", "replace"))
+            own.append(model.vector(features(words)))
             swapped = {SWAP.get(w, w) for w in words}
-            other.append(model.vector(swapped) if swapped != words else None)
+            other.append(model.vector(features(swapped)) if swapped != words else None)
         kind = pa.list_(pa.int32())
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(own, kind), pa.array(other, kind)], names=["doc_id", "toxic", "own", "other"])
 
