@@ -66,8 +66,8 @@ def clean_articles(df: DataFrame, existing: DataFrame | None = None, detect_spre
     return dedup.detect_duplicates_and_spread(cut_lineage(merged), threshold, id_col=id_col) if detect_spread else merged
 
 
-def build_topic_doc(df: DataFrame, lead_chars: int = 1200, use_title: bool = True) -> DataFrame:
-    """Add ``doc``: normalised title plus the lead of the normalised text; empty texts and docs go."""
+def build_topic_doc(df: DataFrame, lead_chars: int | None = None, use_title: bool = True) -> DataFrame:
+    """Add ``doc``: normalised title plus the normalised text, or its first ``lead_chars`` characters; empty texts and docs go."""
     rows = df.withColumn("text", tx.collapse_ws(tx.text_or_empty(F.col("text")))).where(F.length("text") > 0)
     start = tx.lead(F.col("text"), lead_chars)
     if use_title and "title" in df.columns:

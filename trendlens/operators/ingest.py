@@ -20,8 +20,8 @@ def rename_feed(df: DataFrame) -> DataFrame:
         "content", F.col("link").alias("url"), *[c for c in ("pos",) if c in df.columns])
 
 
-def new_by_url(batch: DataFrame, history: DataFrame, max_results: int | None = 50, order: Sequence[str] = ("pos",)) -> DataFrame:
-    """Articles of the batch whose url was not seen; the batch is capped first, as the feed call is.
+def new_by_url(batch: DataFrame, history: DataFrame, max_results: int | None = None, order: Sequence[str] = ("pos",)) -> DataFrame:
+    """Articles of the batch whose url was not seen; with ``max_results`` the batch is cut to that first.
 
     NULL urls are never in the seen set, so they pass.
     """

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trendlens.functions.labels import direction, risk_level, tier
 from trendlens.operators.windows import edge_means, tail
+from trendlens.relational import single_row
 
 DAILY_OUTPUT = ("date", "total_articles", "avg_sentiment", "std_sentiment", "dominant_sentiment", "spike_label")
 
@@ -91,7 +92,7 @@ def volume_path(latest: DataFrame, horizon: int = 7, by: Sequence[str] = (), act
 def volume_outlook(daily: DataFrame, predictions: DataFrame, by: Sequence[str] = (), predicted: str = "predicted_value") -> DataFrame:
     """Predicted volume against the mean of the last seven rows: MORE, FEWER or STABLE beyond three articles."""
     recent = tail(daily, 7, by).groupBy(*by).agg(F.avg("total_articles").alias("recent_mean"))
-    joined = recent.join(predictions, list(by)) if by else recent.join(F.broadcast(predictions.limit(1)), F.lit(True))  # one row
+    joined = recent.join(predictions, list(by)) if by else recent.join(single_row(predictions), F.lit(True))
     change = F.col(predicted) - F.col("recent_mean")
     return joined.select(*by, predicted, "recent_mean", change.alias("change"), direction(change, 3, "MORE", "FEWER").alias("outlook"))
 

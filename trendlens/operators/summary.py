@@ -14,8 +14,8 @@ from trendlens.session import cut_lineage
 SENTENCE = r"[^.!?]+[.!?]*"
 
 
-def summary_input(df: DataFrame, min_words: int = 30, max_chars: int | None = 2000) -> DataFrame:
-    """Add ``summary_input``: text (or content) of at least ``min_words`` words, cut to ``max_chars``; else empty."""
+def summary_input(df: DataFrame, min_words: int = 30, max_chars: int | None = None) -> DataFrame:
+    """Add ``summary_input``: text (or content) of at least ``min_words`` words, with ``max_chars`` only its start; else empty."""
     text = text_or_empty(F.col("text"))
     if "content" in df.columns:
         text = F.when(text == "", text_or_empty(F.col("content"))).otherwise(text)

@@ -17,7 +17,6 @@ from trendlens.sources.adapters import articles_from_documents, orders_as_articl
 from trendlens.streaming import jobs
 
 BY = ["source"]
-ROUNDS = 5  # boosting rounds of the queries here; the library default is 100
 
 
 def frame(spark, sf):
@@ -80,7 +79,7 @@ def names_of(rows):
 
 def fitted(spark, sf, kinds):
     rows = matrix(spark, sf)
-    return forecasting.sentiment_forecaster(rounds=ROUNDS).fit(rows.where("is_train"), names_of(rows), kinds), rows
+    return forecasting.sentiment_forecaster().fit(rows.where("is_train"), names_of(rows), kinds), rows
 
 
 _PRED = "source:s date:s prediction:d"
@@ -114,7 +113,7 @@ def ml6(spark, sf):
 @query("ml7_volume_forecaster", "source:s date:s prediction:d")
 def ml7(spark, sf):
     rows = features.trainer_matrix(frame(spark, sf), "total_articles", by=BY)
-    model = forecasting.volume_forecaster(rounds=ROUNDS).fit(rows.where("is_train"), names_of(rows), ["linear"])
+    model = forecasting.volume_forecaster().fit(rows.where("is_train"), names_of(rows), ["linear"])
     return model.predict(rows.where("NOT is_train"), "linear", ["source", "date"])
 
 
@@ -126,7 +125,7 @@ def spike_rows(spark, sf):
 @query("ml8_spike_detector", "source:s date:s probability:d prediction:i risk_level:s")
 def ml8(spark, sf):
     rows = stage("spike_rows", spark, sf, spike_rows)
-    model = forecasting.SpikeDetector(rounds=ROUNDS).fit(rows.where("is_train"), names_of(rows), BY)
+    model = forecasting.SpikeDetector().fit(rows.where("is_train"), names_of(rows), BY)
     return model.predict(rows.where("NOT is_train"), ["source", "date"])
 
 
@@ -145,7 +144,7 @@ def class_days(spark, sf):
 
 @query("ml11_class_model", "source:s date:s predicted_sentiment:s confidence:d")
 def ml11(spark, sf):
-    model = forecasting.ClassModel(trees=20)
+    model = forecasting.ClassModel()
     model.fit(class_days(spark, sf), BY)
     return model.predict(class_days(spark, sf), ["source", "date"])
 
@@ -159,7 +158,7 @@ def ml14(spark, sf):
         from trendlens.operators.metrics import regression_metrics
         return lambda test: regression_metrics(model.predict(test.withColumn("y", F.col("label")), "linear", ["y"])).first()["mae"]
 
-    out = forecasting.cross_validate(fit, rows, 3, BY)
+    out = forecasting.cross_validate(fit, rows, 5, BY)
     return rows.limit(1).select(*[F.lit(out[k]).alias(k) for k in ("mean_score", "std_score", "n_splits")])
 
 
@@ -193,7 +192,7 @@ def ml17_features(spark, sf):
 
 @query("ml17_forecast_classes", "source:s date:s predicted_sentiment:s confidence:d")
 def ml17(spark, sf):
-    model = forecasting.ClassModel(trees=20)
+    model = forecasting.ClassModel()
     model.fit(class_days(spark, sf), BY)
     return forecasting.forecast_classes(model, class_days(spark, sf), 7, BY)
 
@@ -202,7 +201,7 @@ def build_trained(spark, sf):
     """All three models of one session, trained once and shared by the serving queries."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _TRAINED:
-        _TRAINED[key] = forecasting.train_all(frame(spark, sf), BY, rounds=ROUNDS)
+        _TRAINED[key] = forecasting.train_all(frame(spark, sf), BY)
     return _TRAINED[key]
 
 
@@ -213,7 +212,7 @@ query("ml19_predictions_all", "source:s sentiment:s volume:s spike:s")(
     lambda spark, sf: forecasting.predictions_all(build_trained(spark, sf), windows.latest_row(frame(spark, sf), BY), BY).select(
         "source", *[F.to_json(c).alias(c) for c in ("sentiment", "volume", "spike")]))
 query("ml23_train_class_model", "source:s date:s predicted_sentiment:s confidence:d")(
-    lambda spark, sf: forecasting.train_class_model(orders_as_articles(spark, sf), BY, trees=20)[1])
+    lambda spark, sf: forecasting.train_class_model(orders_as_articles(spark, sf), BY)[1])
 
 # --- serving ----------------------------------------------------------------------------------
 
@@ -249,7 +248,7 @@ RESULT SELECT source, date, prediction, actual, actual - prediction AS error FRO
     lambda spark, sf: serving.prediction_vs_actual(
         orders_daily(spark, sf, BY).select("source", "date", F.lag("avg_sentiment", 7).over(windows.series_window(BY)).alias("prediction")),
         orders_daily(spark, sf, BY).select("source", "date", F.col("avg_sentiment").alias("actual")), 14, BY))
-query("srv6_retrain", "model:s metrics:s")(lambda spark, sf: batch_job.retrain(spark, orders_as_articles(spark, sf), scratch_path(spark, "retrain"), 2, ("source",)).history)
+query("srv6_retrain", "model:s metrics:s")(lambda spark, sf: batch_job.retrain(spark, orders_as_articles(spark, sf), scratch_path(spark, "retrain"), by=("source",)).history)
 query("srv7_trend_summary", "source:s mean_sentiment:d tier:s sentiment_change:d articles:i daily_mean:d volume_change:d volume_change_pct:d spikes:i spike_rate:d", f"""
 {SPIKE_CTE}, rc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY date DESC) AS rn FROM spk) WHERE rn <= 30), {edges_sql('rc')},
 sp2 AS (SELECT source AS s2, sum(spike_label) AS spikes FROM rc GROUP BY source)
@@ -300,7 +299,7 @@ RESULT SELECT event_id, risk_level, CASE risk_level WHEN 'HIGH' THEN 'HIGH SPIKE
 @query("srv12_run_batch", "stage:s outcome:s")
 def srv12(spark, sf):
     raw = articles_from_documents(spark, sf).select("article_id", "title", "text", "publishedAt", "source")
-    done = batch_job.run_batch(spark, raw, scratch_path(spark, "batch"), k_topics=4, rounds=2)
+    done = batch_job.run_batch(spark, raw, scratch_path(spark, "batch"), k_topics=4)
     return spark.createDataFrame(list(done.items()), "stage string, outcome string")
 
 

@@ -149,8 +149,7 @@ wl AS (SELECT article_id, topic, list_filter(list_filter(regexp_split_to_array(l
 tk AS (SELECT {unit}, unnest(ws) AS term FROM wl UNION ALL
        SELECT {unit}, unnest(list_transform(generate_series(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1])) AS term FROM wl WHERE len(ws) > 1),
 tc AS (SELECT {unit}, term, count(*) AS n FROM tk GROUP BY ALL),
-vc AS (SELECT term FROM tc GROUP BY term HAVING count(*) >= {min_df} AND count(*) <= {max_df} * (SELECT count(DISTINCT {unit}) FROM docs)
-       ORDER BY sum(n) DESC, term LIMIT 50000),
+vc AS (SELECT term FROM tc GROUP BY term HAVING count(*) >= {min_df} AND count(*) <= {max_df} * (SELECT count(DISTINCT {unit}) FROM docs)),
 cnt AS MATERIALIZED (SELECT tc.* FROM tc JOIN vc USING (term))"""
 
 
@@ -239,7 +238,7 @@ RESULT SELECT vec_id, topic, exp(-raw) / z AS probability FROM ds JOIN tot USING
 # --- summaries --------------------------------------------------------------------------------
 
 query("sum1_summary_input", "article_id:i summary_input:s",
-      f"SELECT article_id, CASE WHEN {words_sql('text')} >= 30 THEN substring(text, 1, 2000) ELSE '' END AS summary_input FROM docs")(
+      f"SELECT article_id, CASE WHEN {words_sql('text')} >= 30 THEN text ELSE '' END AS summary_input FROM docs")(
     lambda spark, sf: summary.summary_input(docs(spark, sf)))
 
 SUM_SQL = f"""

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from trendlens.functions import text as tx
 from trendlens.operators import cleaning, html, ingest
 from trendlens.operators.sentiment import default_lexicon, score_with_lexicon
+from trendlens.plans.queries_copies import SPREAD_SQL
 from trendlens.plans.registry import query
 from trendlens.sources.adapters import articles_from_documents, articles_from_events, feed_from_pages, table
 
@@ -146,9 +149,18 @@ WITH {CLEAN_SQL}, kp AS (SELECT *, row_number() OVER (PARTITION BY title, publis
   FROM cw WHERE NOT contains(text, '{tx.PAYWALL_MARKER}') AND words >= 100)
 RESULT SELECT article_id, title, clean_text AS text, source, publishedAt FROM kp WHERE rn = 1""")(
     lambda spark, sf: cleaning.clean_articles(docs(spark, sf), detect_spread=False))
+_MARKED = "article_id:i title:s source:s is_original:b duplicate_of:d similarity_score:d original_source:s similarity_category:s spread_count:i"
+query("cln7_clean_articles_marked", _MARKED, f"""
+WITH {CLEAN_SQL}, cdocs AS MATERIALIZED (SELECT article_id, title, text, source, publishedAt FROM (
+  SELECT *, row_number() OVER (PARTITION BY title, publishedAt, source ORDER BY b DESC, article_id DESC) AS rn FROM (
+    SELECT article_id, title, text, source, publishedAt, 0 AS b FROM docs WHERE publishedAt < TIMESTAMP '{CUT_DOCS}'
+    UNION ALL SELECT article_id, title, clean_text, source, publishedAt, 1 FROM cw
+      WHERE NOT contains(text, '{tx.PAYWALL_MARKER}') AND words >= 100 AND (title, publishedAt, source) NOT IN {_SEEN})) WHERE rn = 1),
+{re.sub(r"\bdocs\b", "cdocs", SPREAD_SQL)}
+RESULT SELECT * FROM spr""")(lambda spark, sf: cleaning.clean_articles(docs(spark, sf), stored_docs(spark, sf)))
 query("cln8_build_topic_doc", "article_id:i doc:s", f"""
 WITH t AS (SELECT article_id, trim(regexp_replace(title, '{_WS}', ' ', 'g')) AS title, trim(regexp_replace(text, '{_WS}', ' ', 'g')) AS text FROM docs),
-u AS (SELECT article_id, trim(regexp_replace(title || chr(10) || chr(10) || substring(text, 1, 1200), '{_WS}', ' ', 'g')) AS doc FROM t WHERE length(text) > 0)
+u AS (SELECT article_id, trim(regexp_replace(title || chr(10) || chr(10) || text, '{_WS}', ' ', 'g')) AS doc FROM t WHERE length(text) > 0)
 RESULT SELECT * FROM u WHERE length(doc) > 0""")(lambda spark, sf: cleaning.build_topic_doc(docs(spark, sf)))
 query("cln9_lead", "article_id:i lead512:s lead2000:s", "SELECT article_id, substring(text, 1, 512) AS lead512, substring(text, 1, 2000) AS lead2000 FROM docs")(
     lambda spark, sf: docs(spark, sf).select("article_id", tx.lead(F.col("text"), 512).alias("lead512"), tx.lead(F.col("text"), 2000).alias("lead2000")))

@@ -20,14 +20,21 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column], last:
 
     An aggregate, not a window: every map task reduces its rows to one per key before the
     shuffle, so a key that holds a large share of all rows never meets in one task as a whole.
-    NULL keys form one group. ``order`` must be a total order (end it with a row id).
+    The aggregate sees only ``order`` and keys; the winning rows are found by a join on both, so wide
+    columns are never sorted and move once. NULL keys form one group. ``order`` must be a total order
+    (end it with a row id) of narrow columns.
     """
-    row = F.struct(*[F.col(c) for c in df.columns])
-    pick = F.max_by if last else F.min_by
-    best = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
-        pick(row, F.struct(*order)).alias("__row")
-    )
-    return best.select("__row.*")
+    tags = [f"__o{i}" for i in range(len(order))]
+    tagged = df.select("*", *[c.alias(t) for c, t in zip(order, tags)])
+    pick = F.max if last else F.min
+    best = tagged.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(pick(F.struct(*tags)).alias("__best"))
+    best = best.select(*[f"__k{i}" for i in range(len(keys))], *[F.col(f"__best.{t}").alias(f"__b{i}") for i, t in enumerate(tags)])
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    for i, t in enumerate(tags):
+        cond = cond & F.col(t).eqNullSafe(F.col(f"__b{i}"))
+    return tagged.join(best, cond, "left_semi").drop(*tags)
 
 
 def nulls_last(col: Column | str) -> list[Column]:
@@ -130,6 +137,9 @@ def group_percentiles(df: DataFrame, by: Sequence[str], value: str, quantiles: d
     return out.select(*by, *cols)
 
 
-def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """``df`` with a broadcast hint if it is counted to hold at most ``max_rows`` rows, else as it is."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def single_row(df: DataFrame) -> DataFrame:
+    """``df`` as the broadcast side of a join; running it fails if there is more than one row."""
+    row = F.struct(*[F.col(c) for c in df.columns])
+    one = df.agg(F.count(F.lit(1)).alias("__n"), F.any_value(row).alias("__row"))
+    checked = F.when(F.col("__n") <= 1, F.col("__row")).otherwise(F.raise_error(F.lit("one row expected for a table without series")))
+    return F.broadcast(one.where("__n > 0").select(checked.alias("__row")).select("__row.*"))

@@ -14,17 +14,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of long texts, spread over all cores when it has fewer input splits than cores.
-
-    A single small file arrives as one task, which would do all regex work alone. Large tables have
-    more splits than cores and stay as they are.
-    """
-    df = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def articles_from_events(spark: SparkSession, folder: str) -> DataFrame:
     """One short article per event: class from the event type, topic from the payload."""
     k = F.regexp_extract("props", r'"k": (\d+)', 1).try_cast("long")
@@ -43,7 +32,7 @@ def articles_from_events(spark: SparkSession, folder: str) -> DataFrame:
 def document_articles(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as articles: the first line is the title, the time follows from the id."""
     minute = F.pmod(F.col("doc_id") * 37, F.lit(43200)).cast("int")
-    return text_table(spark, folder, "documents").select(
+    return table(spark, folder, "documents").select(
         F.col("doc_id").alias("article_id"), F.substring_index("text", "\n", 1).alias("title"), "text",
         F.timestamp_add("MINUTE", minute, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("publishedAt"), "source", "lang")
 
@@ -146,7 +135,7 @@ def feed_from_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Web pages as a news feed with the feed's own field names."""
     minute = (F.col("page_id") * 53).cast("int")
     when = F.timestamp_add("MINUTE", minute, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
-    return text_table(spark, folder, "pages").select(
+    return table(spark, folder, "pages").select(
         F.col("page_id").alias("pos"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
         F.lit(None).cast("string").alias("description"), F.regexp_extract("url", "//([^/]+)", 1).alias("source_name"),
         when.cast("string").alias("pubDate"), F.col("html").alias("content"), F.col("url").alias("link"))
