@@ -48,7 +48,8 @@ def test_missing_columns(spark):
 def test_all_features_shape(sample):
     frame = features.create_all_features(sample.drop("topic"))
     assert len(frame.columns) == 81
-    groups = features.feature_groups(frame.columns)
+    groups = features.feature_groups(daily.daily_base(sample.drop("topic")))
+    assert sorted(c for g in groups.values() for c in g) == sorted(c for c in frame.columns if c not in ("date", "dominant_sentiment", "min_sentiment", "max_sentiment"))
     assert len(groups["lag_features"]) == 10 and len(groups["rolling_features"]) == 40 and len(groups["calendar_features"]) == 11
 
 

@@ -12,6 +12,7 @@ from trendlens.functions.labels import dominant_balanced, numeric_to_class, sent
 from trendlens.relational import require_columns, share
 
 BASE_COLUMNS = ("total_articles", "avg_sentiment", "std_sentiment", "min_sentiment", "max_sentiment", "dominant_sentiment")
+MODEL_INPUTS = BASE_COLUMNS[:3]
 
 
 def timestamp_column(df: DataFrame, name: str) -> Column:

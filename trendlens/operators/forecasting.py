@@ -419,8 +419,11 @@ def forecast_classes(model: ClassModel, days: DataFrame, horizon: int = 7, by: S
 # --- validation, search, orchestration ----------------------------------------------------------
 
 def cross_validate(fit: Callable[[DataFrame], Callable[[DataFrame], float]], df: DataFrame, k: int = 5, by: Sequence[str] = ()) -> dict:
-    """Walk-forward scores: fit on everything earlier, score the next block; mean and population deviation."""
-    folds = cut_lineage(features.walk_forward_folds(df, k, by))
+    """Walk-forward scores: fit on everything earlier, score the next block; mean and population deviation.
+
+    ``df`` may hold the folds already (columns ``fold`` and ``role``).
+    """
+    folds = df if "fold" in df.columns else cut_lineage(features.walk_forward_folds(df, k, by))
     scores = []
     for i in range(k):
         one = folds.where(F.col("fold") == i)
@@ -429,7 +432,7 @@ def cross_validate(fit: Callable[[DataFrame], Callable[[DataFrame], float]], df:
     return {"mean_score": mean, "std_score": (sum((s - mean) ** 2 for s in scores) / k) ** 0.5, "scores": scores, "n_splits": k}
 
 
-# Search ranges: (low, high, how numbers are drawn)
+# Search ranges as (low, high, how numbers are drawn).
 SPACES = {
     "boosted": {"rounds": (50, 300, "int"), "depth": (3, 10, "int"), "step": (0.01, 0.3, "real"), "subsample": (0.6, 1.0, "real")},
     "linear": {"alpha": (0.001, 1.0, "log"), "l1": (0.0, 1.0, "real")},
@@ -461,8 +464,9 @@ def tune(df: DataFrame, names: Sequence[str], kind: str = "linear", trials: int
             caster = Forecaster(**params, seed=seed).fit(train, names, [kind])
             return lambda test: -(metrics.regression_metrics(caster.predict(test.withColumn("y", F.col("label")), kind, ["y"])).first()["rmse"] ** 2)
 
-        return cross_validate(fit, df, k, by)["mean_score"]
+        return cross_validate(fit, folds, k, by)["mean_score"]
 
+    folds = cut_lineage(features.walk_forward_folds(df, k, by))  # once for all trials
     tried = [draw(space, t, seed) for t in range(trials)]
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         results = list(zip(tried, pool.map(score, tried)))
@@ -510,13 +514,20 @@ def train_all(frame: DataFrame, by: Sequence[str] = (), rounds: int = 100, horiz
 def predictions_all(trained: Trained, latest: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per series: struct of the sentiment, volume and spike predictions."""
     keep = list(by)
-    latest = latest.withColumn("__k", F.xxhash64(*by) if by else F.lit(0))
-    week = [m.predict_next_week(latest, keep=["__k", *keep]) for m in (trained.sentiment, trained.volume)]
+    keys = keep or ["__all"]
+    latest = latest if keep else latest.withColumn("__all", F.lit(0))
+    week = [m.predict_next_week(latest, keep=keys) for m in (trained.sentiment, trained.volume)]
     fields = ("predicted_value", "confidence", "forecast_horizon", "model_used")
-    a = week[0].select("__k", *keep, F.struct(*fields).alias("sentiment"))
-    b = week[1].select("__k", F.struct(*fields).alias("volume"))
-    c = trained.spike.predict(latest, ["__k"]).select("__k", F.struct("probability", "prediction", "risk_level").alias("spike"))
-    return a.join(b, "__k").join(c, "__k").drop("__k")
+    a = week[0].select(*keys, F.struct(*fields).alias("sentiment"))
+    b = week[1].select(*keys, F.struct(*fields).alias("volume"))
+    c = trained.spike.predict(latest, keys).select(*keys, F.struct("probability", "prediction", "risk_level").alias("spike"))
+    for other, made in ((b, "volume"), (c, "spike")):
+        other = other.toDF(*[f"__r{i}" for i in range(len(keys))], made)
+        same = F.lit(True)
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"__r{i}"))
+        a = a.join(other, same).drop(*[f"__r{i}" for i in range(len(keys))])
+    return a.select(*keep, "sentiment", "volume", "spike")
 
 
 def weekly_prediction(trained: Trained, daily_frame: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -396,7 +396,7 @@ def snk4(spark, sf):
     return spark.read.json(f"{path}/json").select("data_quality.total_articles")
 
 
-@query("snk5_save_load_model", "source:s date:s difference:d")
+@query("snk5_save_load_model", "differing:i largest:d", "SELECT 0 AS differing, 0.0 AS largest")
 def snk5(spark, sf):
     path = scratch_path(spark, "model")
     model, rows = fitted(spark, sf, ["linear"])
@@ -404,7 +404,8 @@ def snk5(spark, sf):
     again = forecasting.Forecaster.load(spark, path)
     a = model.predict(rows, "linear", ["source", "date"])
     b = again.predict(rows, "linear", ["source", "date"]).withColumnRenamed("prediction", "other")
-    return a.join(b, ["source", "date"]).select("source", "date", (F.col("prediction") - F.col("other")).alias("difference"))
+    gap = F.abs(F.col("prediction") - F.col("other"))
+    return a.join(b, ["source", "date"]).agg(F.count_if(gap > 0).alias("differing"), F.max(gap).alias("largest"))
 
 
 @query("snk6_refresh_daily", "date:s total_articles:i avg_sentiment:d", "SELECT * FROM dailye")

@@ -66,7 +66,9 @@ def sen1_model(spark, sf):
     return sentiment.score_with_model(arts, model)
 
 
-@query("sen1_score_callable", "article_id:i sentiment:s sentiment_confidence:d")
+@query("sen1_score_callable", "article_id:i sentiment:s sentiment_confidence:d", """
+SELECT article_id, CASE WHEN length(coalesce(text, '')) > 600 THEN 'positive' ELSE 'neutral' END AS sentiment,
+  round(1 - 1 / (1 + length(coalesce(text, '')))::DOUBLE, 4) AS sentiment_confidence FROM docs""")
 def sen1_callable(spark, sf):
     def by_length(texts):
         import pandas as pd
@@ -132,13 +134,14 @@ STOP = (*topics.NEWS_WORDS, "the", "and", "of", "to", "in", "is", "for", "on", "
 _STOP_SQL = ", ".join(f"'{w}'" for w in STOP)
 
 
-@query("top1_stopwords", "lang:s tokens:i stop_tokens:i")
+@query("top1_stopwords", "lang:s tokens:i stop_tokens:i", f"""
+SELECT lang, count(*) AS tokens, count(*) FILTER (WHERE w IN ({_STOP_SQL})) AS stop_tokens
+FROM (SELECT lang, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}_]+')) AS w FROM documents) WHERE w <> '' GROUP BY lang""")
 def top1(spark, sf):
     """How much of each language's text is made of stop words."""
-    stop = topics.stopwords()
     from trendlens.functions.text import words
     tokens = table(spark, sf, "documents").select("lang", F.explode(words(F.col("text"))).alias("w"))
-    return tokens.groupBy("lang").agg(F.count(F.lit(1)).alias("tokens"), F.count_if(F.col("w").isin(*stop)).alias("stop_tokens"))
+    return tokens.groupBy("lang").agg(F.count(F.lit(1)).alias("tokens"), F.count_if(F.col("w").isin(*STOP)).alias("stop_tokens"))
 
 
 def terms_sql(unit: str, min_df: int = 3, max_df: float = 0.75) -> str:
@@ -263,7 +266,8 @@ query("sum2_summarise", "article_id:i summary:s", f"WITH {SUM_SQL}\nRESULT SELEC
     lambda spark, sf: summary.summarise(docs(spark, sf)))
 
 
-@query("sum2_summarise_callable", "article_id:i summary:s")
+@query("sum2_summarise_callable", "article_id:i summary:s", f"""
+SELECT article_id, CASE WHEN {words_sql('text')} >= 30 THEN array_to_string(string_split(text, '. ')[1:2], '. ') ELSE '' END AS summary FROM docs""")
 def sum2_callable(spark, sf):
     def first_sentences(texts):
         return [". ".join(t.split(". ")[:2]) for t in texts]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from trendlens.functions import calendar
 from trendlens.operators import daily, features, windows
+from trendlens.plans.queries_copies import SPREAD_SQL, spread_table
 from trendlens.plans.registry import query
 from trendlens.sources.adapters import articles_from_events, orders_as_articles
 
@@ -273,16 +274,19 @@ def _single(cte):
 query("fea1_create_all_features_global", ALL_SPEC, f"{_single(ALL_CTE)}\nRESULT SELECT * FROM fea")(
     lambda spark, sf: features.create_all_features(orders_as_articles(spark, sf)))
 
-@query("fea2_feature_groups", "feature_group:s columns:i rows:i")
+@query("fea2_feature_groups", "feature_group:s columns:i rows:i", """
+WITH g AS (SELECT * FROM (VALUES ('base_features', 3), ('lag_features', 10), ('rolling_features', 40), ('calendar_features', 11), ('trend_features', 10), ('target_features', 3)) AS v(feature_group, columns))
+RESULT SELECT feature_group, columns, (SELECT count(*) FROM dailyos) AS rows FROM g""")
 def fea2(spark, sf):
-    full = all_features(spark, sf)
-    groups = features.feature_groups(full.columns)
-    parts = [full.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(g).alias("feature_group"), F.lit(len(c)).alias("columns"), "rows")
-             for g, c in groups.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    base = orders_daily(spark, sf, ["source"])
+    sizes = {g: len(c) for g, c in features.feature_groups(base, ["source"]).items()}
+    pairs = F.array(*[F.struct(F.lit(g).alias("feature_group"), F.lit(n).alias("columns")) for g, n in sizes.items()])
+    return base.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.explode(pairs).alias("g")).select("g.*", "rows")
+
+
+query("agg11_originals_only", "date:s originals:i", f"""
+WITH {SPREAD_SQL}\nRESULT SELECT CAST("publishedAt" AS DATE) AS date, count(*) AS originals FROM spr WHERE is_original AND "publishedAt" IS NOT NULL GROUP BY 1""")(
+    lambda spark, sf: daily.with_date(daily.originals_only(spread_table(spark, sf))).groupBy("date").agg(F.count(F.lit(1)).alias("originals")))
 
 
 MODEL_FEATURES = [c for c in (s.rsplit(":", 1)[0] for s in ALL_SPEC.split())
