@@ -1,9 +1,9 @@
 """Main text of web pages from flat text blocks and a decision tree.
 
 A page is cut at block-level tags into flat text blocks. A block has a word count, a link density (share of
-its words inside links), those of the block before and after it, and two marks from its open elements: inside
-an article or main element, and inside boilerplate (navigation, footer, aside, form and the like, or a class,
-id or role that says so). A decision tree (Gini, fitted when the operator is built) trained on the small
+its words inside links), those of the block before and after it, and a place told by its open elements: inside
+an article or main element, inside boilerplate (navigation, footer, aside, form and the like, or a class, id or
+role that says so), or neither. A decision tree (Gini, fitted when the operator is built) trained on the small
 labelled table below tells text from boilerplate.
 
 Scripts, styles, titles, comments and other raw elements never make text. Character references are decoded,
@@ -25,45 +25,52 @@ from pyspark.sql import functions as F
 
 from trendlens.llm.common import batches
 
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "main", "boiler")
-# words, links, before: words, links, after: words, links, in main, in boilerplate -> text
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "place")
+# words, links, before: words, links, after: words, links, place (2 article, 1 neither, 0 boilerplate) -> text
 LABELLED = np.array(
     [
         # articles: long, short and one-word paragraphs, headings, a link or two
-        (80, 0.00, 60, 0.00, 70, 0.00, 1, 0, 1), (45, 0.05, 12, 0.00, 90, 0.00, 1, 0, 1), (120, 0.02, 0, 0.00, 40, 0.10, 1, 0, 1),
-        (1, 0.00, 40, 0.00, 80, 0.00, 1, 0, 1), (2, 0.00, 30, 0.00, 25, 0.00, 1, 0, 1), (9, 0.00, 0, 0.00, 55, 0.00, 1, 0, 1),
-        (6, 0.00, 20, 1.00, 70, 0.00, 1, 0, 1), (14, 0.00, 8, 0.00, 3, 0.00, 1, 0, 1), (3, 0.00, 2, 0.00, 6, 0.00, 1, 0, 1),
-        (30, 0.30, 40, 0.00, 25, 0.00, 1, 0, 1), (12, 0.25, 30, 0.00, 9, 0.00, 1, 0, 1), (200, 0.00, 1, 1.00, 12, 0.00, 1, 0, 1),
-        (25, 0.00, 1, 0.00, 10, 0.10, 1, 0, 1), (5, 0.40, 50, 0.00, 60, 0.00, 1, 0, 1), (60, 0.00, 12, 0.00, 15, 0.00, 1, 0, 1),
-        (70, 0.00, 9, 0.00, 1, 0.00, 1, 0, 1), (18, 0.00, 60, 0.00, 0, 0.00, 1, 0, 1), (7, 0.00, 1, 0.00, 2, 0.00, 1, 0, 1),
-        (1, 0.00, 1, 0.00, 1, 0.00, 1, 0, 1), (2, 0.00, 9, 0.00, 0, 0.00, 1, 0, 1), (400, 0.10, 9, 0.00, 20, 0.00, 1, 0, 1),
-        (10, 0.00, 20, 0.00, 1, 1.00, 1, 0, 1), (16, 0.45, 35, 0.00, 14, 0.00, 1, 0, 1), (4, 0.00, 5, 1.00, 2, 0.00, 1, 0, 1),
+        (80, 0.00, 60, 0.00, 70, 0.00, 2, 1), (45, 0.05, 12, 0.00, 90, 0.00, 2, 1), (120, 0.02, 0, 0.00, 40, 0.10, 2, 1),
+        (1, 0.00, 40, 0.00, 80, 0.00, 2, 1), (2, 0.00, 30, 0.00, 25, 0.00, 2, 1), (9, 0.00, 0, 0.00, 55, 0.00, 2, 1),
+        (6, 0.00, 20, 1.00, 70, 0.00, 2, 1), (14, 0.00, 8, 0.00, 3, 0.00, 2, 1), (3, 0.00, 2, 0.00, 6, 0.00, 2, 1),
+        (30, 0.30, 40, 0.00, 25, 0.00, 2, 1), (12, 0.25, 30, 0.00, 9, 0.00, 2, 1), (200, 0.00, 1, 1.00, 12, 0.00, 2, 1),
+        (25, 0.00, 1, 0.00, 10, 0.10, 2, 1), (5, 0.40, 50, 0.00, 60, 0.00, 2, 1), (60, 0.00, 12, 0.00, 15, 0.00, 2, 1),
+        (70, 0.00, 9, 0.00, 1, 0.00, 2, 1), (18, 0.00, 60, 0.00, 0, 0.00, 2, 1), (7, 0.00, 1, 0.00, 2, 0.00, 2, 1),
+        (1, 0.00, 1, 0.00, 1, 0.00, 2, 1), (2, 0.00, 9, 0.00, 0, 0.00, 2, 1), (400, 0.10, 9, 0.00, 20, 0.00, 2, 1),
+        (10, 0.00, 20, 0.00, 1, 1.00, 2, 1), (16, 0.45, 35, 0.00, 14, 0.00, 2, 1), (4, 0.00, 5, 1.00, 2, 0.00, 2, 1),
+        (4, 0.50, 1, 0.00, 0, 0.00, 2, 1), (12, 0.60, 30, 0.00, 20, 0.00, 2, 1), (6, 0.67, 9, 0.00, 40, 0.00, 2, 1), (30, 0.55, 12, 0.00, 3, 0.00, 2, 1),
+        (3, 0.00, 2, 0.00, 3, 0.00, 2, 1), (5, 0.00, 3, 0.00, 2, 0.00, 2, 1), (6, 0.00, 1, 0.00, 4, 0.00, 2, 1),
+        (2, 0.00, 3, 0.00, 9, 0.00, 2, 1), (4, 0.00, 2, 0.00, 2, 0.00, 2, 1), (8, 0.00, 4, 1.00, 3, 1.00, 2, 1),
+        (7, 0.00, 2, 1.00, 12, 0.00, 2, 1), (5, 0.00, 1, 1.00, 1, 1.00, 2, 1), (9, 0.00, 2, 1.00, 2, 1.00, 2, 1),
+        (3, 0.00, 3, 1.00, 8, 0.50, 2, 1), (6, 0.30, 2, 0.00, 3, 0.00, 2, 1), (2, 0.00, 4, 0.00, 1, 1.00, 2, 1),
+        (1, 0.00, 2, 1.00, 2, 1.00, 2, 1), (9, 0.00, 3, 0.00, 4, 0.00, 2, 1), (12, 0.00, 3, 1.00, 2, 1.00, 2, 1),
+        (1, 0.00, 0, 0.00, 2, 1.00, 2, 1),
         # lists of links inside articles
-        (6, 1.00, 50, 0.00, 7, 1.00, 1, 0, 0), (8, 1.00, 6, 1.00, 5, 1.00, 1, 0, 0), (3, 1.00, 4, 1.00, 12, 0.10, 1, 0, 0),
-        (12, 0.95, 30, 0.00, 9, 1.00, 1, 0, 0), (20, 0.90, 8, 1.00, 10, 1.00, 1, 0, 0), (2, 1.00, 70, 0.00, 2, 1.00, 1, 0, 0),
+        (6, 1.00, 50, 0.00, 7, 1.00, 2, 0), (8, 1.00, 6, 1.00, 5, 1.00, 2, 0), (3, 1.00, 4, 1.00, 12, 0.10, 2, 0),
+        (12, 0.95, 30, 0.00, 9, 1.00, 2, 0), (20, 0.90, 8, 1.00, 10, 1.00, 2, 0), (2, 1.00, 70, 0.00, 2, 1.00, 2, 0),
         # anything in boilerplate elements
-        (1, 1.00, 0, 0.00, 1, 1.00, 0, 1, 0), (2, 1.00, 1, 1.00, 1, 1.00, 0, 1, 0), (1, 1.00, 1, 1.00, 14, 0.00, 0, 1, 0),
-        (14, 0.00, 1, 1.00, 10, 0.00, 0, 1, 0), (25, 0.00, 2, 1.00, 60, 0.00, 0, 1, 0), (12, 0.10, 80, 0.00, 0, 0.00, 0, 1, 0),
-        (18, 0.00, 90, 0.00, 0, 0.00, 0, 1, 0), (60, 0.00, 12, 0.00, 40, 0.00, 0, 1, 0), (35, 0.20, 50, 0.00, 5, 1.00, 0, 1, 0),
-        (4, 0.00, 30, 0.00, 12, 0.00, 0, 1, 0), (90, 0.00, 70, 0.00, 80, 0.00, 0, 1, 0), (40, 0.00, 60, 0.00, 50, 0.00, 1, 1, 0),
-        (8, 0.00, 70, 0.00, 90, 0.00, 1, 1, 0), (15, 0.20, 45, 0.00, 30, 0.00, 1, 1, 0), (100, 0.00, 40, 0.00, 60, 0.00, 1, 1, 0),
-        (3, 0.00, 0, 0.00, 9, 0.00, 1, 1, 0), (1, 0.00, 90, 0.00, 100, 0.00, 0, 1, 0), (22, 0.50, 14, 0.00, 20, 0.40, 0, 1, 0),
+        (1, 1.00, 0, 0.00, 1, 1.00, 0, 0), (2, 1.00, 1, 1.00, 1, 1.00, 0, 0), (1, 1.00, 1, 1.00, 14, 0.00, 0, 0),
+        (14, 0.00, 1, 1.00, 10, 0.00, 0, 0), (25, 0.00, 2, 1.00, 60, 0.00, 0, 0), (12, 0.10, 80, 0.00, 0, 0.00, 0, 0),
+        (18, 0.00, 90, 0.00, 0, 0.00, 0, 0), (60, 0.00, 12, 0.00, 40, 0.00, 0, 0), (35, 0.20, 50, 0.00, 5, 1.00, 0, 0),
+        (4, 0.00, 30, 0.00, 12, 0.00, 0, 0), (90, 0.00, 70, 0.00, 80, 0.00, 0, 0), (40, 0.00, 60, 0.00, 50, 0.00, 0, 0),
+        (8, 0.00, 70, 0.00, 90, 0.00, 0, 0), (15, 0.20, 45, 0.00, 30, 0.00, 0, 0), (100, 0.00, 40, 0.00, 60, 0.00, 0, 0),
+        (3, 0.00, 0, 0.00, 9, 0.00, 0, 0), (1, 0.00, 90, 0.00, 100, 0.00, 0, 0), (22, 0.50, 14, 0.00, 20, 0.40, 0, 0),
         # pages without article elements: text
-        (60, 0.00, 50, 0.00, 70, 0.00, 0, 0, 1), (35, 0.05, 8, 0.00, 45, 0.00, 0, 0, 1), (110, 0.02, 3, 1.00, 60, 0.00, 0, 0, 1),
-        (25, 0.00, 60, 0.00, 12, 0.00, 0, 0, 1), (20, 0.10, 90, 0.05, 30, 0.00, 0, 0, 1), (5, 0.00, 60, 0.00, 70, 0.00, 0, 0, 1),
-        (1, 0.00, 45, 0.00, 30, 0.00, 0, 0, 1), (8, 0.00, 2, 1.00, 80, 0.00, 0, 0, 1), (12, 0.00, 40, 0.00, 3, 0.00, 0, 0, 1),
-        (18, 0.00, 25, 0.00, 20, 0.00, 0, 0, 1), (3, 0.00, 30, 0.00, 50, 0.00, 0, 0, 1), (40, 0.20, 35, 0.00, 2, 1.00, 0, 0, 1),
-        (75, 0.00, 4, 0.00, 1, 0.00, 0, 0, 1), (40, 0.00, 3, 0.00, 1, 0.00, 0, 0, 1), (50, 0.10, 1, 1.00, 2, 1.00, 0, 0, 1),
-        (28, 0.00, 2, 1.00, 0, 0.00, 0, 0, 1), (90, 0.05, 5, 0.60, 2, 0.00, 0, 0, 1), (300, 0.00, 0, 0.00, 0, 0.00, 0, 0, 1),
-        (22, 0.00, 6, 0.00, 6, 0.00, 0, 0, 1), (65, 0.15, 9, 0.80, 1, 1.00, 0, 0, 1), (33, 0.00, 1, 0.00, 2, 0.00, 0, 0, 1),
-        (2, 0.00, 40, 0.00, 22, 0.00, 0, 0, 1), (4, 0.00, 1, 0.00, 35, 0.00, 0, 0, 1), (6, 0.20, 55, 0.00, 40, 0.00, 0, 0, 1),
+        (60, 0.00, 50, 0.00, 70, 0.00, 1, 1), (35, 0.05, 8, 0.00, 45, 0.00, 1, 1), (110, 0.02, 3, 1.00, 60, 0.00, 1, 1),
+        (25, 0.00, 60, 0.00, 12, 0.00, 1, 1), (20, 0.10, 90, 0.05, 30, 0.00, 1, 1), (5, 0.00, 60, 0.00, 70, 0.00, 1, 1),
+        (1, 0.00, 45, 0.00, 30, 0.00, 1, 1), (8, 0.00, 2, 1.00, 80, 0.00, 1, 1), (12, 0.00, 40, 0.00, 3, 0.00, 1, 1),
+        (18, 0.00, 25, 0.00, 20, 0.00, 1, 1), (3, 0.00, 30, 0.00, 50, 0.00, 1, 1), (40, 0.20, 35, 0.00, 2, 1.00, 1, 1),
+        (75, 0.00, 4, 0.00, 1, 0.00, 1, 1), (40, 0.00, 3, 0.00, 1, 0.00, 1, 1), (50, 0.10, 1, 1.00, 2, 1.00, 1, 1),
+        (28, 0.00, 2, 1.00, 0, 0.00, 1, 1), (90, 0.05, 5, 0.60, 2, 0.00, 1, 1), (300, 0.00, 0, 0.00, 0, 0.00, 1, 1),
+        (22, 0.00, 6, 0.00, 6, 0.00, 1, 1), (65, 0.15, 9, 0.80, 1, 1.00, 1, 1), (33, 0.00, 1, 0.00, 2, 0.00, 1, 1),
+        (2, 0.00, 40, 0.00, 22, 0.00, 1, 1), (4, 0.00, 1, 0.00, 35, 0.00, 1, 1), (6, 0.20, 55, 0.00, 40, 0.00, 1, 1),
         # pages without article elements: menus, notes
-        (3, 0.00, 2, 0.00, 4, 0.00, 0, 0, 0), (5, 0.00, 6, 1.00, 1, 1.00, 0, 0, 0), (8, 0.00, 2, 0.50, 3, 1.00, 0, 0, 0),
-        (25, 0.90, 3, 1.00, 2, 1.00, 0, 0, 0), (70, 0.85, 40, 0.00, 30, 0.00, 0, 0, 0), (12, 1.00, 20, 0.00, 8, 0.00, 0, 0, 0),
-        (2, 1.00, 1, 1.00, 3, 1.00, 0, 0, 0), (4, 0.80, 2, 1.00, 40, 0.00, 0, 0, 0), (1, 1.00, 60, 0.00, 2, 1.00, 0, 0, 0),
-        (6, 0.00, 2, 1.00, 3, 1.00, 0, 0, 0), (3, 0.00, 1, 1.00, 2, 1.00, 0, 0, 0), (9, 0.60, 3, 1.00, 5, 0.80, 0, 0, 0),
-        (15, 0.70, 30, 0.00, 4, 1.00, 0, 0, 0), (5, 0.00, 3, 0.00, 1, 1.00, 0, 0, 0), (30, 0.80, 50, 0.00, 20, 0.60, 0, 0, 0),
-        (2, 0.00, 0, 0.00, 1, 1.00, 0, 0, 0), (7, 0.00, 4, 1.00, 2, 0.00, 0, 0, 0), (10, 1.00, 80, 0.00, 60, 0.00, 0, 0, 0),
+        (3, 0.00, 2, 0.00, 4, 0.00, 1, 0), (5, 0.00, 6, 1.00, 1, 1.00, 1, 0), (8, 0.00, 2, 0.50, 3, 1.00, 1, 0),
+        (25, 0.90, 3, 1.00, 2, 1.00, 1, 0), (70, 0.85, 40, 0.00, 30, 0.00, 1, 0), (12, 1.00, 20, 0.00, 8, 0.00, 1, 0),
+        (2, 1.00, 1, 1.00, 3, 1.00, 1, 0), (4, 0.80, 2, 1.00, 40, 0.00, 1, 0), (1, 1.00, 60, 0.00, 2, 1.00, 1, 0),
+        (6, 0.00, 2, 1.00, 3, 1.00, 1, 0), (3, 0.00, 1, 1.00, 2, 1.00, 1, 0), (9, 0.60, 3, 1.00, 5, 0.80, 1, 0),
+        (15, 0.70, 30, 0.00, 4, 1.00, 1, 0), (5, 0.00, 3, 0.00, 1, 1.00, 1, 0), (30, 0.80, 50, 0.00, 20, 0.60, 1, 0),
+        (2, 0.00, 0, 0.00, 1, 1.00, 1, 0), (7, 0.00, 4, 1.00, 2, 0.00, 1, 0), (10, 1.00, 80, 0.00, 60, 0.00, 1, 0),
     ]
 )
 
@@ -179,7 +186,7 @@ def blocks(html: str) -> list[Block]:
 class Tree:
     """A small classification tree (Gini impurity, midpoints between neighbouring values)."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2):
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 3):
         self.root = self._grow(x, y, depth, least)
 
     def _grow(self, x: np.ndarray, y: np.ndarray, depth: int, least: int):
@@ -224,7 +231,7 @@ def main_text(html: str | None, tree: Tree) -> str:
     kept = []
     for i, b in enumerate(own):
         before, after = sizes[i - 1] if i else edge, sizes[i + 1] if i + 1 < len(own) else edge
-        if tree((*sizes[i], *before, *after, b.main, b.boiler)):
+        if tree((*sizes[i], *before, *after, 0 if b.boiler else 1 + b.main)):
             kept.append(b.text)
     return " ".join(kept)
 
