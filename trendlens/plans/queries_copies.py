@@ -124,7 +124,15 @@ def dup4_dense(spark, sf):
     return similarity.dense_pairs(vectors, [list(c) for c in model.clusterCenters()], 0.40)
 
 
-query("dup4_cosine_pairs_lsh", "a:i b:i cosine:d")(lambda spark, sf: similarity.dense_pairs_lsh(table(spark, sf, "embeddings"), 0.40))
+@query("dup4_cosine_pairs_lsh", "outside:i recall_met:b", "SELECT 0 AS outside, true AS recall_met")
+def dup4_lsh(spark, sf):
+    """The approximate pairs against the exact ones: none outside, at least nine of ten found."""
+    vectors = table(spark, sf, "embeddings")
+    near = similarity.dense_pairs_lsh(vectors, 0.40).select("a", "b", F.lit(1).alias("near"))
+    exact = dup4_dense(spark, sf).select("a", "b", F.lit(1).alias("exact"))
+    both = near.join(exact, ["a", "b"], "full")
+    found, whole = F.count_if(F.col("near").isNotNull() & F.col("exact").isNotNull()), F.count("exact")
+    return both.agg(F.count_if(F.col("exact").isNull()).alias("outside"), (found >= whole * 0.9).alias("recall_met"))
 
 
 @query("dup5_mark_semantic_copies", _MARK, f"WITH {SPREAD_SQL}\nRESULT SELECT * FROM spr")
