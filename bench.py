@@ -14,8 +14,8 @@ from trendlens.session import build_session  # noqa: E402
 
 HEADLINE = (
     "agg1_daily_base", "agg1_daily_base_by_source", "agg3_topic_pivot", "fea1_create_all_features", "fea5_classifier_features",
-    "cln7_clean_articles", "ing3_first_by_url", "ing7_new_by_key", "ing8_merge_append", "dup1_exact_title_copies", "dup4_cosine_pairs",
-    "dup8_best_prior_match", "dup11_detect_duplicates_and_spread", "sen1_score_lexicon_documents", "top3_class_tfidf", "top5_mark_outliers",
+    "cln7_clean_articles", "cln7_clean_articles_marked", "ing3_first_by_url", "ing7_new_by_key", "ing8_merge_append", "dup1_exact_title_copies", "dup4_cosine_pairs",
+    "dup8_best_prior_match", "dup11_detect_duplicates_and_spread", "sen1_score_lexicon_documents", "top2_vectorise_terms", "top3_class_tfidf", "top5_mark_outliers",
     "sum2_summarise", "met4_roc_auc", "evl7_overall_score", "srv1_trend_analysis", "str2_daily_stream", "ml4_boosted_regressor",
 )
 

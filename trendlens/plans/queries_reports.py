@@ -10,6 +10,7 @@ from trendlens.operators import dashboard, metrics, scorecard, sentiment, summar
 from trendlens.plans.queries_copies import SPREAD_SQL, spread_table
 from trendlens.plans.queries_series import orders_daily
 from trendlens.plans.registry import query, stage
+from trendlens.session import scratch_path
 from trendlens.sources.adapters import articles_from_documents, articles_from_events, table
 
 ID = "article_id"
@@ -303,6 +304,16 @@ WITH {NAIVE_SQL}
 RESULT SELECT source, round(avg(CASE WHEN y <> 0 THEN abs((y - prediction) / y) END) * 100, 2) AS mape FROM nv GROUP BY source""")(
     lambda spark, sf: metrics.mape(naive(spark, sf), by=["source"]))
 
+@query("met8_metric_history", "model:s mae:d rmse:d", f"""
+WITH {NAIVE_SQL}, m AS (SELECT round(avg(abs(v - vp)), 4) AS mae, round(sqrt(avg((v - vp) * (v - vp))), 4) AS rmse FROM nv)
+RESULT SELECT 'volume' AS model, * FROM m UNION ALL SELECT 'volume', * FROM m UNION ALL SELECT 'again', * FROM m""")
+def met8(spark, sf):
+    path = scratch_path(spark, "metric-history")
+    for name in ("volume", "volume", "again"):
+        metrics.append_history(metrics.regression_metrics(naive(spark, sf), "v", "vp"), path, name)
+    return spark.read.parquet(path)
+
+
 QUAL_SQL = """ql AS (SELECT d.doc_id, l.quality AS y, CASE WHEN n_chars > 1000 THEN 1 ELSE 0 END AS prediction, round(n_chars / (n_chars + 1000.0::DOUBLE), 3) AS score
    FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
 
