@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,9 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.session import cut_lineage, ensure_checkpoint_dir
+from trendlens.session import cut_lineage, scratch_path
 
-__all__ = ["cut_lineage", "ensure_checkpoint_dir", "table", "byte_texts", "ratio_of_hash", "bounded_rows", "light_side", "components"]
+__all__ = ["cut_lineage", "table", "byte_texts", "ratio_of_hash", "bounded_rows", "light_side", "components"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -74,6 +75,44 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table on the shared store: for wide rows, which a checkpoint wouldn't compress."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Give shuffle files and checkpoints that nothing refers to any more back to the disks.
+
+    Spark's cleaner follows the driver's garbage collection, which a job of many small stages may not
+    trigger for a long time.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def bit_table(hashes: DataFrame, name: str = "hash", bits: int = 24) -> np.ndarray:
+    """2 ** ``bits`` bits, packed, set for the top bits of every value of a long column.
+
+    A prefilter of fixed size: 2 ** (bits - 6) words at most reach the driver, whatever the table's size. What it
+    lets through is a superset; an exact join must follow.
+    """
+    slot = F.shiftrightunsigned(name, 64 - bits)
+    bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned({name}, {64 - bits}) % 64 AS INT))")
+    words = hashes.where(F.col(name).isNotNull()).groupBy(F.floor(slot / 64).alias("w")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), "<i8")
+    out[words.column("w").to_numpy().astype(np.int64)] = words.column("bits").to_numpy()
+    return out.view(np.uint8)
+
+
+def in_table(packed: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of the 64-bit values are marked in a table of ``bit_table``."""
+    bits = int(np.log2(len(packed))) + 3
+    at = (values.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+    return (packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40.0, 40.0)))
 
@@ -102,12 +141,18 @@ def pass_through(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays + list(columns.values()), names=names + list(columns))
 
 
+def pieces(it: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of Arrow batches of about ``size`` bytes, one row at least, so that few texts are Python objects at a time."""
+    for batch in it:
+        rows = max(1, int(size * batch.num_rows / max(1, batch.nbytes)))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def batches(fn):
     """``fn(batch) -> batch`` as a function for ``mapInArrow``."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            if batch.num_rows:
-                yield fn(batch)
+        yield from map(fn, pieces(it))
 
     return run

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import byte_texts, cut_lineage, light_side
+from trendlens.llm.common import bit_table, byte_texts, cut_lineage, in_table, light_side, pieces
 
 UNITS = (
     "percent mm cm km m mg g kg t ml cl l kb mb gb tb hz khz mhz ghz w kw kwh v mph kmh inch inches foot feet yard yards mile miles meter meters metre metres "
@@ -38,7 +38,6 @@ UNITS = (
 ).split()
 BLOCK = 1 << 20
 PLAIN, NUMBER, UNIT, NAME = 0, 1, 2, 3
-TABLE_BITS = 24
 M = (1 << 64) - 1
 
 _rng = np.random.default_rng(20_240_229)
@@ -168,7 +167,7 @@ def benchmark_windows(items: DataFrame, size: int = 8, literals: int = 4, least:
     """(id, hash, pos, slots, windows, size) of the items; slots are lower-case values, "" for plain words."""
 
     def run(it):
-        for batch in it:
+        for batch in pieces(it):
             for ids, t in _runs(batch):
                 counts = np.bincount(t.text, minlength=len(ids)) if len(t.text) else np.zeros(len(ids), np.int64)
                 for k in sorted({size, *(int(c) for c in counts if least <= c < size)}):
@@ -184,29 +183,19 @@ def benchmark_windows(items: DataFrame, size: int = 8, literals: int = 4, least:
     return items.mapInArrow(run, _SCHEMA).withColumn("size", F.size("slots")).dropDuplicates(["id", "hash", "pos"])
 
 
-def bit_table(hashes: DataFrame) -> np.ndarray:
-    """2^24 bits, set for the top bits of every hash; at most 2^18 words reach the driver."""
-    slot = F.shiftrightunsigned("hash", 64 - TABLE_BITS)
-    bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(hash, {64 - TABLE_BITS}) % 64 AS INT))")
-    words = hashes.groupBy(F.floor(slot / 64).alias("w")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    out = np.zeros(1 << (TABLE_BITS - 6), np.int64)
-    out[words.column("w").to_numpy().astype(np.int64)] = words.column("bits").to_numpy()
-    return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool)
-
-
 def surviving_windows(docs: DataFrame, table: np.ndarray, sizes: list[int], literals: int) -> DataFrame:
     """Windows of ``docs`` (doc_id, text) whose hash is marked in ``table``: (id, hash, pos, slots)."""
-    packed = docs.sparkSession.sparkContext.broadcast(np.packbits(table))  # 2 MB, whatever the benchmark
+    packed = docs.sparkSession.sparkContext.broadcast(table)  # 2 MB, whatever the benchmark
 
     def run(it):
-        marked = np.unpackbits(packed.value).view(bool)
-        for batch in it:
+        marked = packed.value
+        for batch in pieces(it):
             for ids, t in _runs(batch):
                 for size in sizes:
                     base = None
                     for names in (True, False):
                         start, hashes = window_hashes(t, size, literals, names)
-                        hit = marked[(hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] if len(start) else np.zeros(0, bool)
+                        hit = in_table(marked, hashes)
                         if names:
                             base = hashes
                         else:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import byte_texts, components, cut_lineage, light_side
+from trendlens.llm.common import byte_texts, components, cut_lineage, light_side, pieces
 
 BITS, STEP = 64, 4
 
@@ -52,7 +52,7 @@ def with_fingerprint(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFra
     """(doc_id, fp): the fingerprint as a signed long."""
 
     def run(it):
-        for batch in it:
+        for batch in pieces(it):
             fps = np.array([fingerprint(t, words, seed) for t in byte_texts(batch.column(1))], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 

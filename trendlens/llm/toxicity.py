@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import batches, bounded_rows, byte_texts, cut_lineage, sigmoid
+from trendlens.llm.common import batches, bounded_rows, byte_texts, cut_lineage, pieces, sigmoid
 
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = range(4, 9)
@@ -94,7 +94,7 @@ def _statistics(train: DataFrame) -> DataFrame:
     """(feature, toxic, clean): numbers of labelled texts with the feature; counted per batch, then summed."""
 
     def run(it):
-        for batch in it:
+        for batch in pieces(it):
             counts: tuple[Counter, Counter] = (Counter(), Counter())
             for text, toxic in zip(byte_texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 counts[toxic].update(features(words_of(text.decode("utf-8", "replace"))))
