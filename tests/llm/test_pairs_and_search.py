@@ -161,6 +161,8 @@ def test_suffix_ranks_order_suffixes(spark):
             a = int(rng.integers(0, len(b)))
             s += b[a : a + int(rng.integers(1, 30))] + [0, 0, 0] * int(rng.random() < 0.5)
         strings.append((i, [int(x) for x in s] + [0, 0, 0]))
+    strings.append((25, [1, 0, 0, 0, 2, 0, 0, 0, 3, 0, 0, 0, 4, 0, 0, 0]))  # every symbol is there twice
+    strings.append((26, [4, 3, 0, 0, 0, 2, 1, 0, 0, 0]))
     df = spark.createDataFrame(strings, "ord long, syms array<long>")
     suffix = lambda s, i: tuple(itertools.takewhile(bool, s[i:]))
     places = {(o, i): suffix(s, i) for o, s in strings for i in range(len(s)) if s[i]}
