@@ -6,9 +6,9 @@ names (capitalised words inside a sentence) are slots; in a template they are ty
 ``literals`` plain words keeps its slots' values in the hash, since placeholders alone say nothing. Each
 window also counts with its names spelled out, so that a copy in other letter case is found.
 
-For every (document, item, alignment) the slots must be consistent: one value in the item stands for one
-value in the document and the other way round. Consistent windows count, changed slots mark a
-re-parameterised question. A document is contaminated by an item if at least ``enough`` of the item's windows
+A window whose slots are unchanged always counts. A window with changed slots counts if they agree with the
+alignment's one-to-one map: of the value pairs of a (document, item, alignment) that contradict each other, the
+one in most windows stands (the unchanged one on a tie). Changed slots mark a re-parameterised question. A document is contaminated by an item if at least ``enough`` of the item's windows
 match (six windows are 13 words in a row) or at least ``share`` of them.
 
 Items shorter than ``size`` words have one window of all their words, if they have at least ``least`` words;
@@ -222,9 +222,13 @@ def leaks(docs: DataFrame, items: DataFrame, size: int = 8, literals: int = 4, l
     met = found.join(item, "hash").select(F.col("id").alias("doc_id"), "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "slots", "item_slots")
     # slot pairs of an alignment: one value of the item, one of the document
     pairs = F.filter(F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda p: (p["a"] != "") & (p["b"] != ""))
-    line = met.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-    values = lambda f: F.size(F.array_distinct(F.transform("pairs", lambda p: p[f])))
-    line = line.where((values("a") == F.size("pairs")) & (values("b") == F.size("pairs")))
+    line = met.groupBy("doc_id", "item_id", "shift").agg(F.collect_set(F.struct(F.col("item_pos").alias("at"), pairs.alias("pairs"))).alias("seen"))
+    line = line.withColumn("votes", F.expr("flatten(transform(seen, w -> w.pairs))"))
+    line = line.withColumn("weights", F.expr("transform(array_distinct(votes), p -> struct(size(filter(votes, q -> q = p)) AS n, p.a = p.b AS same, p AS p))"))
+    rivals = "exists(weights, y -> y.p <> x.p AND (y.p.a = x.p.a OR y.p.b = x.p.b) AND y > x)"
+    line = line.withColumn("mapped", F.expr(f"transform(filter(weights, x -> NOT {rivals}), x -> x.p)"))
+    line = line.withColumn("seen", F.expr("filter(seen, w -> forall(w.pairs, p -> p.a = p.b OR array_contains(mapped, p)))")).where(F.size("seen") > 0)
+    line = line.select("doc_id", "item_id", F.expr("transform(seen, w -> w.at)").alias("at"), F.expr("array_distinct(flatten(transform(seen, w -> w.pairs)))").alias("pairs"))
     changed = F.size(F.filter("pairs", lambda p: p["a"] != p["b"]))
     whole = bench.groupBy("id").agg(F.countDistinct("pos").alias("windows"))
     both = line.groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("matched"), F.min(changed).alias("changed_slots"))
