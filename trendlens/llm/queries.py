@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlens.llm import decontamination, html_blocks, maxscore, mixing, pseudonyms, quality, secret_scan, simhash_trie, suffix_dedup, toxicity
+from trendlens.llm import decontamination, html_blocks, maxscore, mixing, periodic_runs, pseudonyms, quality, secret_scan, simhash_trie, suffix_dedup, toxicity
 from trendlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,8 @@ def op10_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.deduplicate(table(spark, folder, "documents"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.collapse_runs(table(spark, folder, "documents"), periodic_runs.planted))
