@@ -136,10 +136,12 @@ def find_runs(ids: np.ndarray, doc_of: np.ndarray, lengths: np.ndarray, exponent
 
 def _extend(ids: np.ndarray, starts: np.ndarray, apart: np.ndarray, size: int, exponent: int, shortest: int, runs: list[tuple[int, int, int]]) -> None:
     """Add the runs of one scale to ``runs``, which holds those of all smaller scales."""
+    if not len(starts):
+        return
     by = np.lexsort((starts, apart))
     starts, apart = starts[by], apart[by]
     first = np.flatnonzero(np.concatenate(([True], (apart[1:] != apart[:-1]) | (starts[1:] != starts[:-1] + size))))
-    ends = starts[np.append(first[1:], len(starts)) - 1] + size if len(starts) else starts
+    ends = starts[np.append(first[1:], len(starts)) - 1] + size
     low, gap = starts[first], apart[first]
     longest = ends - low + 2 * (size - 1)  # words that equal the one a gap later
     can = (longest >= (exponent - 1) * gap) & (longest + gap >= shortest)
