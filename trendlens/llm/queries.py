@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlens.llm import decontamination, html_blocks, maxscore, mixing, periodic_runs, pseudonyms, quality, secret_scan, simhash_trie, spelling_variants, suffix_dedup, toxicity
+from trendlens.llm import chosen_path, decontamination, html_blocks, maxscore, mixing, periodic_runs, pseudonyms, quality, secret_scan, simhash_trie, spelling_variants, suffix_dedup, toxicity
 from trendlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,8 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_variants.variant_groups(spelling_variants.word_counts(table(spark, folder, "documents"), spelling_variants.planted))
+
+
+@query
+def op13_chosen_path_components(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, folder, "documents"))
