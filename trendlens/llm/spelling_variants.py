@@ -1,10 +1,11 @@
 """Spelling variants of the corpus vocabulary by a similarity join of asymmetric q-chunks.
 
 1. One pass over the texts counts words inside the tasks; only (word, count) is shuffled.
-2. Words x and y are compared if a chunk of x stands in y at the same place or one beside it. x gives two chunks only, its
-   disjoint halves of q = length // 2 code points at 0 and at q; y gives all its positional grams of that length. One edit
-   touches one of the halves, and the other one moves by at most one place: no pair of one edit is missed.
-   The join is an equi-join on (gram, place), since each chunk states its three places.
+2. Words x and y, y as long as x or one longer, are compared if a chunk of x stands in y at the same place or one after it.
+   x gives two chunks only, its disjoint halves of q = length // 2 code points at 0 and at q; y gives its positional grams of
+   that length. One edit touches one of the halves only. The other one stands at its place if it is the first half or the
+   words are of one length, else one place on, so a chunk states where it is looked for, and grams that no chunk looks
+   for are left out. The join is an equi-join on (gram, place, length of y): no pair of one edit is missed.
 3. What meets is verified by the edit distance itself.
 
 A chunk that more than ``heavy`` words share (and words of which many begin alike, as in junk) would compare the square of
@@ -22,7 +23,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendlens.llm.common import cut_lineage, pieces, stage_table
@@ -80,25 +81,23 @@ def near_pairs(words: DataFrame, heavy: int = 1_000) -> DataFrame:
 
     ``words`` (word string) holds distinct words and is read several times: pass a materialised table.
     """
-    length = F.length("word").cast("int")
-    chunked = words.select("word", length.alias("l"), F.expr("CAST(length(word) DIV 2 AS INT)").alias("q"))
-    half = lambda at: F.struct(at.alias("at"), F.col("word").substr(at + 1, F.col("q")).alias("gram"))
-    chunks = chunked.where("q > 0").select("word", "l", F.explode(F.array(half(F.lit(0)), half(F.col("q")))).alias("c"))
-    chunks = chunks.select("word", "l", "c.gram", F.explode(F.transform(F.array(*[F.lit(s) for s in (-1, 0, 1)]), lambda s: F.col("c.at") + s)).alias("at")).where("at >= 0")
-    # a word of length l can be next to words of length l - 1 to l + 1, whose chunks have these lengths
-    sizes = F.array_distinct(F.array(*[F.expr(f"CAST((l + {d}) DIV 2 AS INT)") for d in (-1, 0, 1)]))
-    grams = chunked.select("word", "l", F.explode(sizes).alias("size")).where("size > 0 AND size <= l")
-    grams = grams.select("word", "l", "size", F.explode(F.sequence(F.lit(0), F.col("l") - F.col("size"))).alias("at"))
-    grams = grams.select("word", "l", F.expr("substring(word, at + 1, size)").alias("gram"), "at")
-    crowded = chunks.groupBy("gram", "at").agg(F.count("*").alias("words")).where(F.col("words") > heavy).select("gram", "at")
-    crowded = cut_lineage(crowded)
-    x = chunks.join(crowded, ["gram", "at"], "left_anti").select("gram", "at", F.col("word").alias("x"), F.col("l").alias("lx"))
-    y = grams.select("gram", "at", F.col("word").alias("y"), F.col("l").alias("ly"))
-    met = x.join(y, ["gram", "at"]).where((F.abs(F.col("lx") - F.col("ly")) <= 1) & (F.col("x") != F.col("y")))
-    pairs = _verified(met.select("x", "y"))
+    half = lambda minus: F.expr(f"CAST((length(word) - {minus}) DIV 2 AS INT)")
+    sized = words.select("word", F.length("word").cast("int").alias("l"), half(0).alias("q"), half(1).alias("p"))
+
+    def keys(name: str, *places: tuple[Column, Column, Column, Column]) -> DataFrame:
+        """(name, gram, at, length): the gram of ``size`` at ``start``, looked for at ``at`` of words of ``length``."""
+        each = [F.struct(F.col("word").substr(start + 1, size).alias("gram"), at.alias("at"), length.alias("length")) for start, size, at, length in places]
+        return sized.where("l > 1").select(F.col("word").alias(name), F.explode(F.array_distinct(F.array(*each))).alias("k")).select(name, "k.*")
+
+    zero, l, q, p = F.lit(0), F.col("l"), F.col("q"), F.col("p")
+    x = keys("x", (zero, q, zero, l), (q, q, q, l), (zero, q, zero, l + 1), (q, q, q + 1, l + 1))
+    y = keys("y", (zero, q, zero, l), (q, q, q, l), (zero, p, zero, l), (p + 1, p, p + 1, l))
+    on = ["gram", "at", "length"]
+    crowded = cut_lineage(x.groupBy(*on).agg(F.count("*").alias("words")).where(F.col("words") > heavy).select(*on))
+    met = x.join(crowded, on, "left_anti").join(y, on).where("x < y OR length(x) < length")  # words of one length meet both ways
+    pairs = _verified(met)
     if not crowded.isEmpty():
-        heavy_words = chunks.join(crowded, ["gram", "at"], "left_semi").select("word").distinct()
-        pairs = pairs.unionByName(_verified(_by_deletion(heavy_words, words)))
+        pairs = pairs.unionByName(_verified(_by_deletion(x.join(crowded, on, "left_semi").select(F.col("x").alias("word")).distinct(), words)))
     return pairs.distinct()
 
 
@@ -109,11 +108,11 @@ def _by_deletion(some: DataFrame, words: DataFrame) -> DataFrame:
         cut = F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.concat(F.col("word").substr(F.lit(1), i - 1), F.col("word").substr(i + 1, F.length("word"))))
         return df.select(F.col("word").alias(name), F.explode(F.array_distinct(F.concat(F.array("word"), cut))).alias("variant"))
 
-    return variants(some, "x").join(variants(words, "y"), "variant").where("x <> y").select("x", "y")
+    return variants(some, "x").join(variants(words, "y"), "variant").select("x", "y")
 
 
 def _verified(met: DataFrame) -> DataFrame:
-    near = met.where(F.levenshtein("x", "y", 1) == 1)
+    near = met.where("x <> y").where(F.levenshtein("x", "y", 1) == 1)
     return near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
