@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trendlens.session import cut_lineage, stage_table
+
 
 def require_columns(df: DataFrame, names: Iterable[str]) -> None:
     """Raise ``ValueError`` naming the columns of ``names`` that ``df`` lacks."""
@@ -58,46 +60,60 @@ def share(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
-def ordered_prefix_sums(df: DataFrame, by: Sequence[str], value: str, sums: Sequence[str], bins: int = 1000) -> DataFrame:
-    """Add, for each column of ``sums``, its total over rows of the group with a smaller ``value``.
+def _same(pairs: Iterable[tuple[str, str]]) -> Column:
+    """All pairs of columns are equal, NULLs too."""
+    cond = F.lit(True)
+    for a, b in pairs:
+        cond = cond & F.col(a).eqNullSafe(F.col(b))
+    return cond
 
-    ``df`` must hold one row per (group, value). Two levels: totals of equal-width value bins give
-    the offsets, and the window inside a bin sees only that bin, so no task sorts a whole group.
-    """
-    from pyspark.sql import Window
 
-    by = list(by)
-    lim = df.groupBy(*by).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-    if by:
-        cond = None
-        lim = lim.select(*[F.col(k).alias(f"__l_{k}") for k in by], "__lo", "__hi")
-        for k in by:
-            term = F.col(k).eqNullSafe(F.col(f"__l_{k}"))
-            cond = term if cond is None else cond & term
-        binned = df.join(lim, cond).drop(*[f"__l_{k}" for k in by])
-    else:
-        binned = df.join(F.broadcast(lim), F.lit(True))  # one row of limits
-    binned = binned.withColumn(
-        "__bin",
-        F.coalesce(F.try_divide((F.col(value) - F.col("__lo")) * bins, F.col("__hi") - F.col("__lo")), F.lit(0.0))
-        .cast("long"),
-    ).drop("__lo", "__hi")
-    totals = binned.groupBy(*by, "__bin").agg(*[F.sum(s).alias(f"__t_{s}") for s in sums])
-    before = Window.partitionBy(*by).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+def scan_ordered(df: DataFrame, by: Sequence[str], order: Sequence[str], sums: Sequence[str] = (), following: Sequence[str] = (), parts: int | None = None) -> DataFrame:
+    """Add ``<s>_before``, the total over the earlier rows of the group, and ``<c>_next``, the value in the next row.
+
+    ``order`` must be a total order inside a group. Rows are dealt to ``parts`` ranges of (group, order), cut where a sample
+    of the rows says, so that ranges hold alike many rows however the values lie, and a group of any size spreads over
+    them. Windows see one range of one group; a row per range and group carries totals and first rows across.
+    """
+    by, order = list(by), list(order)
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = stage_table(df.repartitionByRange(parts, *by, *order).withColumn("__part", F.spark_partition_id()), "ordered")
+    first = F.struct(*order, *[F.col(c).alias(f"__f{i}") for i, c in enumerate(following)])
+    totals = cut.groupBy(*by, "__part").agg(F.min(first).alias("__first"), *[F.sum(s).alias(f"__t_{s}") for s in sums])
+    across = Window.partitionBy(*by).orderBy("__part")
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *[F.col(k).alias(f"__o_{k}") for k in by],
-        F.col("__bin").alias("__obin"),
-        *[F.coalesce(F.sum(f"__t_{s}").over(before), F.lit(0)).alias(f"__off_{s}") for s in sums],
-    )
-    cond = F.col("__bin") == F.col("__obin")
-    for k in by:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__o_{k}"))
-    joined = binned.join(offsets, cond)
-    inside = Window.partitionBy(*by, "__bin").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        *[F.col(k).alias(f"__o_{k}") for k in by], F.col("__part").alias("__opart"), F.lead("__first").over(across).alias("__after"),
+        *[F.coalesce(F.sum(f"__t_{s}").over(earlier), F.lit(0)).alias(f"__off_{s}") for s in sums])
+    joined = cut.join(offsets, _same([("__part", "__opart"), *[(k, f"__o_{k}") for k in by]]))
+    inside = Window.partitionBy(*by, "__part").orderBy(*order)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    last = F.lead(F.lit(True)).over(inside).isNull()
     return joined.select(
-        *df.columns,
-        *[(F.col(f"__off_{s}") + F.coalesce(F.sum(s).over(inside), F.lit(0))).alias(f"{s}_before") for s in sums],
-    )
+        *df.columns, *[(F.col(f"__off_{s}") + F.coalesce(F.sum(s).over(before), F.lit(0))).alias(f"{s}_before") for s in sums],
+        *[F.when(last, F.col(f"__after.__f{i}")).otherwise(F.lead(c).over(inside)).alias(f"{c}_next") for i, c in enumerate(following)])
+
+
+def ordered_prefix_sums(df: DataFrame, by: Sequence[str], value: str, sums: Sequence[str], parts: int | None = None) -> DataFrame:
+    """Add, for each column of ``sums``, its total over rows of the group with a smaller ``value``; ``df`` must hold one row per (group, value)."""
+    return scan_ordered(df, by, [value], sums, parts=parts)
+
+
+def follow(pointers: DataFrame, rounds: int = 64) -> DataFrame:
+    """(node, root) of rows (node, up): where the chain of pointers from each node ends, by doubling.
+
+    A chain ends at a value that is no node or that points to itself. Each round is checkpointed and covers twice the distance.
+    """
+    now = cut_lineage(pointers.select("node", "up"))
+    for _ in range(rounds):
+        hop = now.select(F.col("node").alias("__n"), F.col("up").alias("__u"))
+        step = now.join(hop, F.col("up") == F.col("__n"), "left")
+        now = cut_lineage(step.select("node", F.coalesce("__u", "up").alias("up"), (F.col("__u").isNotNull() & (F.col("__u") != F.col("up"))).alias("moved")))
+        if now.where("moved").isEmpty():
+            return now.select("node", F.col("up").alias("root"))
+        now = now.drop("moved")
+    raise ValueError("pointers form a cycle")
 
 
 def group_percentiles(df: DataFrame, by: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:

@@ -61,3 +61,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """New folder name for intermediate files, next to the checkpoints on the shared store."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table on the shared store: for rows that are wide or read often, which a checkpoint wouldn't compress."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
