@@ -9,7 +9,9 @@
 3. In a small node all signatures are compared. A node hands on pairs that connect what looks similar, not all pairs.
    In a node of over ``small`` leaves each leaf is first compared with ``stars`` of them. Nodes whose leaves are connected by
    confirmed links are done; others branch again. What is still large after ``depth`` steps is compared block by block.
-4. Links are confirmed on full sets. Where a connecting pair of a node isn't confirmed, all its pairs that are still apart are.
+4. Links are confirmed on full sets. Where a connecting pair of a node isn't confirmed, and in nodes below large ones, the
+   leaves that are alike to one of another component are compared exhaustively on full sets; each set is sent to a node once,
+   and a node hands on links that connect what is linked in it. So rows grow with leaves, not with pairs.
 
 Independent trees are repeated until a pair just at the threshold is met with a probability of ``recall`` even if all of
 its nodes branch ``depth`` times; pairs met in the first step or of higher similarity are missed far less often. A pair that
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendlens.llm.common import byte_texts, components, cut_lineage, pieces, release, stage_table
-from trendlens.llm.shingle_sets import confirmed, keyed, leaves, mixed, shingle_sets
+from trendlens.llm.shingle_sets import SLACK, confirmed, keyed, leaves, mixed, sets_of, shingle_sets
 
 MASK = (1 << 64) - 1
 
@@ -144,7 +146,7 @@ def shared_nodes(rows: DataFrame) -> DataFrame:
 # --- comparison ---------------------------------------------------------------------------------
 
 
-def _alike(tokens: np.ndarray, own: np.ndarray, roots: np.ndarray | None, least: int, limit: int = 1 << 22) -> Iterator[tuple[int, np.ndarray]]:
+def _alike(tokens: np.ndarray, own: np.ndarray, roots: np.ndarray | None, least: int) -> Iterator[tuple[int, np.ndarray]]:
     """For each row the later rows of other leaves (and other roots) with ``least`` equal tokens."""
     for i in range(len(tokens) - 1):
         ok = (tokens[i + 1 :] == tokens[i]).sum(axis=1) >= least
@@ -188,51 +190,123 @@ def _by_node(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
 
 
-def _pairs_in_nodes(least: int, all_apart: bool):
-    """Pairs of the rows (node, leaf, signature, root) of each node: connecting ones, or all whose roots differ."""
+def _pairs_in_nodes(least: int):
+    """Pairs (node, a, b, more) of the rows (node, leaf, signature) that connect what is alike in each node."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _by_node(it):
             node, own = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             tokens = _matrix(batch.column(2), "<u4").astype(np.uint16)
-            roots = batch.column(3).to_numpy() if all_apart else None
-            first = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
-            size = np.diff(np.append(first, len(node)))
+            first, size = _nodes(node)
             two = first[size == 2]
-            ok = (tokens[two] == tokens[two + 1]).sum(axis=1) >= least
-            ok &= own[two] != own[two + 1]
-            if all_apart:
-                ok &= roots[two] != roots[two + 1]
-            parts = [(two[ok], two[ok] + 1, np.zeros(int(ok.sum()), bool))]
+            two = two[((tokens[two] == tokens[two + 1]).sum(axis=1) >= least) & (own[two] != own[two + 1])]
+            parts = [(two, two + 1, np.zeros(len(two), bool))]
             for at, n in zip(first[size > 2].tolist(), size[size > 2].tolist(), strict=True):
-                part = slice(at, at + n)
-                if all_apart:
-                    for i, others in _alike(tokens[part], own[part], roots[part], least):
-                        if len(others):
-                            parts.append((np.full(len(others), at + i), at + others, np.zeros(len(others), bool)))
-                else:
-                    a, b, more = _connecting(tokens[part], own[part], least)
-                    parts.append((at + a, at + b, more))
+                a, b, more = _connecting(tokens[at : at + n], own[at : at + n], least)
+                parts.append((at + a, at + b, more))
             a, b, more = (np.concatenate(x) for x in zip(*parts, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(own[a]), pa.array(own[b]), pa.array(more)], names=["node", "a", "b", "more"])
 
     return run
 
 
+def _apart_in_nodes(least: int):
+    """Rows (node, leaf) of (node, leaf, signature, root) that are alike to a row of the node with another root."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _by_node(it):
+            node, own, roots = (batch.column(i).to_numpy() for i in (0, 1, 3))
+            tokens = _matrix(batch.column(2), "<u4").astype(np.uint16)
+            marked = np.zeros(len(node), bool)
+            for at, n in zip(*(x.tolist() for x in _nodes(node)), strict=True):
+                part = slice(at, at + n)
+                for i, others in _alike(tokens[part], own[part], roots[part], least):
+                    if len(others):
+                        marked[at + i] = True
+                        marked[at + others] = True
+            yield batch.select([0, 1]).filter(pa.array(marked))
+
+    return run
+
+
+def _nodes(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First row and size of each node of sorted rows."""
+    first = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
+    return first, np.diff(np.append(first, len(node)))
+
+
+def linked(sets: list[np.ndarray], share: float, width: int = 4096) -> np.ndarray:
+    """Which of the sorted sets have a Jaccard similarity of ``share`` or more, as a matrix."""
+    n = np.array([len(x) for x in sets], np.int64)
+    items, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), n)
+    place = np.cumsum(times > 1) - 1  # items of one set only are in no intersection
+    keep = times[at] > 1
+    owner, column = owner[keep], place[at[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((len(sets), len(sets)))
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, (low, low + width))
+        held = np.zeros((len(sets), width), np.float32)
+        held[owner[a:b], column[a:b] - low] = 1
+        common += held @ held.T
+    return common >= share * (n[:, None] + n - common) - SLACK
+
+
+def _links_in_nodes(share: float):
+    """Links (u, v) that connect the rows (node, leaf, items) of each node as all links between them do."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _by_node(it):
+            own, items = batch.column(1).to_numpy(), batch.column(2)
+            u, v = [], []
+            for at, n in zip(*(x.tolist() for x in _nodes(batch.column(0).to_numpy())), strict=True):
+                near = linked([np.frombuffer(x.as_py(), "<u8") for x in items.slice(at, n)], share)
+                free = np.ones(n, bool)
+                while free.any():
+                    reached = [int(free.argmax())]
+                    free[reached[0]] = False
+                    for i in reached:
+                        new = np.flatnonzero(near[i] & free)
+                        free[new] = False
+                        reached += new.tolist()
+                        u += [own[at + i]] * len(new)
+                        v += own[at + new].tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["a", "b"])
+
+    return run
+
+
 _PAIRS = "node long, a long, b long, more boolean"
-_ENDS = (F.least, F.greatest)
 
 
 def _ends(df: DataFrame, *more: str) -> DataFrame:
     return df.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), *more)
 
 
-def in_small_nodes(rows: DataFrame, leaf_rows: DataFrame, least: int, roots: DataFrame | None = None) -> DataFrame:
-    """Pairs (u, v, node, more) of nodes of bounded size; with ``roots`` all pairs that they leave apart."""
-    held = rows.select("node", "leaf").join(leaf_rows.select("leaf", "signature"), "leaf")
-    held = held.withColumn("root", F.col("leaf")) if roots is None else _rooted(held, roots)
-    held = held.select("node", "leaf", "signature", "root").repartition("node").sortWithinPartitions("node", "leaf")
-    return _ends(held.mapInArrow(_pairs_in_nodes(least, roots is not None), _PAIRS), "node", "more")
+def _grouped(rows: DataFrame) -> DataFrame:
+    """Rows dealt by node and sorted, for functions over whole nodes."""
+    return rows.repartition("node").sortWithinPartitions("node", "leaf")
+
+
+def connecting_pairs(rows: DataFrame, leaf_rows: DataFrame, least: int) -> DataFrame:
+    """Pairs (u, v, node, more) that connect what is alike in nodes of bounded size."""
+    held = rows.select("node", "leaf").join(leaf_rows.select("leaf", "signature"), "leaf").select("node", "leaf", "signature")
+    return _ends(_grouped(held).mapInArrow(_pairs_in_nodes(least), _PAIRS), "node", "more")
+
+
+def still_apart(rows: DataFrame, leaf_rows: DataFrame, least: int, roots: DataFrame) -> DataFrame:
+    """(node, leaf) of nodes of bounded size whose signature is alike to one of another component in the node."""
+    held = _rooted(rows.select("node", "leaf").join(leaf_rows.select("leaf", "signature"), "leaf"), roots)
+    return _grouped(held.select("node", "leaf", "signature", "root")).mapInArrow(_apart_in_nodes(least), "node long, leaf long")
+
+
+def links_in_nodes(docs: DataFrame, own: DataFrame, rows: DataFrame, words: int, share: float) -> DataFrame:
+    """Links (u, v) between the leaves of nodes of bounded size, all of them compared on full sets; ``rows`` must be materialised."""
+    sets = sets_of(docs, own, rows.select("leaf").distinct(), words)
+    held = rows.join(sets, "leaf").select("node", "leaf", "items")
+    return cut_lineage(_ends(_grouped(held).mapInArrow(_links_in_nodes(share), "a long, b long")).distinct())
 
 
 def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -241,24 +315,29 @@ def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def star_pairs(rows: DataFrame, leaf_rows: DataFrame, least: int, stars: int) -> DataFrame:
-    """Pairs (u, v) of each leaf of a node and ``stars`` leaves of it, if their signatures allow the similarity."""
-    heads = rows.groupBy("node").agg(*[F.min_by("leaf", F.xxhash64(F.lit(i), "leaf")).alias(f"h{i}") for i in range(stars)])
-    heads = heads.select("node", F.explode(F.array_distinct(F.array(*[f"h{i}" for i in range(stars)]))).alias("b"))
-    pairs = _ends(rows.select("node", F.col("leaf").alias("a")).join(heads, "node").where("a <> b")).distinct()
-    return alike(pairs, leaf_rows, least)
-
+    """Pairs (u, v) of each leaf of a node and ``stars`` leaves of it, if their signatures allow the similarity.
 
-def alike(pairs: DataFrame, leaf_rows: DataFrame, least: int) -> DataFrame:
-    """The pairs (u, v) with ``least`` equal tokens."""
-    left = leaf_rows.select(F.col("leaf").alias("u"), F.col("signature").alias("x"))
-    right = leaf_rows.select(F.col("leaf").alias("v"), F.col("signature").alias("y"))
+    The stars come to each leaf in one row.
+    """
+    own = leaf_rows.select("leaf", "signature")
+    heads = rows.groupBy("node").agg(*[F.min_by("leaf", F.xxhash64(F.lit(i), "leaf")).alias(f"h{i}") for i in range(stars)])
+    heads = heads.select("node", F.explode(F.array_distinct(F.array(*[f"h{i}" for i in range(stars)]))).alias("leaf")).join(own, "leaf")
+    heads = heads.groupBy("node").agg(F.collect_list("leaf").alias("stars"), F.collect_list("signature").alias("tokens"))  # ``stars`` entries at most
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(it):
-            same = (_matrix(batch.column(2), "<u4") == _matrix(batch.column(3), "<u4")).sum(axis=1) if batch.num_rows else np.zeros(0)
-            yield batch.select([0, 1]).filter(pa.array(same >= least))
+            if not batch.num_rows:
+                continue
+            leaf, sizes = batch.column(0).to_numpy(), batch.column(2).value_lengths().to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), sizes)
+            head = batch.column(2).flatten().to_numpy()
+            same = (_matrix(batch.column(1), "<u4")[row] == _matrix(batch.column(3).flatten(), "<u4")).sum(axis=1)
+            keep = (same >= least) & (leaf[row] != head)
+            a, b = leaf[row][keep], head[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["u", "v"])
 
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(run, "u long, v long")
+    held = rows.select("node", "leaf").join(own, "leaf").join(heads, "node")
+    return held.select("leaf", "signature", "stars", "tokens").mapInArrow(run, "u long, v long").distinct()
 
 
 def apart_in(rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -268,13 +347,13 @@ def apart_in(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return named.join(open_, "node", "left_semi")
 
 
-def block_pairs(rows: DataFrame, leaf_rows: DataFrame, least: int, roots: DataFrame, small: int) -> DataFrame:
-    """As ``in_small_nodes`` with roots, for nodes of any size: every two blocks of a node meet in a group of their own."""
+def apart_by_blocks(rows: DataFrame, leaf_rows: DataFrame, least: int, roots: DataFrame, small: int) -> DataFrame:
+    """As ``still_apart`` for nodes of any size: every two blocks of a node meet in a node of their own."""
     blocks = F.ceil(F.col("size") / (small / 2)).cast("int")
     own = F.pmod(F.xxhash64(F.lit(7), "leaf"), F.col("blocks")).cast("int")
     dealt = rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     part = F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))
-    return in_small_nodes(dealt.select(part.alias("node"), "leaf").distinct(), leaf_rows, least, roots)
+    return still_apart(dealt.select(part.alias("node"), "leaf").distinct(), leaf_rows, least, roots)
 
 
 def near_duplicate_links(docs: DataFrame, own: DataFrame, leaf_rows: DataFrame, words: int, share: float, recall: float, width: int, small: int, stars: int, depth: int) -> DataFrame:
@@ -282,7 +361,7 @@ def near_duplicate_links(docs: DataFrame, own: DataFrame, leaf_rows: DataFrame,
     least = ceil(width * (share - 4.5 * sqrt(share * (1 - share) / width)))
     nodes = shared_nodes(cut_lineage(first_step(leaf_rows, share, trees_for(share, recall, depth))))
     few, many = nodes.where(F.col("size") <= small), nodes.where(F.col("size") > small)
-    met = stage_table(in_small_nodes(few, leaf_rows, least), "connecting")
+    met = stage_table(connecting_pairs(few, leaf_rows, least), "connecting")
     pairs = met.select("u", "v")
     crowded = not many.isEmpty()
     if crowded:
@@ -294,22 +373,22 @@ def near_duplicate_links(docs: DataFrame, own: DataFrame, leaf_rows: DataFrame,
     low, high = roots.toDF("u", "root_u"), roots.toDF("v", "root_v")
     judged = met.where("more").join(low, "u", "left").join(high, "v", "left")
     again = judged.where(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("node").distinct()
-    rest = in_small_nodes(few.join(cut_lineage(again), "node", "left_semi"), leaf_rows, least, roots).select("u", "v")
+    rest = still_apart(few.join(cut_lineage(again), "node", "left_semi"), leaf_rows, least, roots)
     step = 1
     while crowded:
         open_ = stage_table(apart_in(many, roots), "open-nodes")
         if open_.isEmpty():
             break
         if step == depth:
-            rest = rest.unionByName(block_pairs(open_, leaf_rows, least, roots, small).select("u", "v"))
+            rest = rest.unionByName(apart_by_blocks(open_, leaf_rows, least, roots, small))
             break
         step += 1
         nodes = shared_nodes(cut_lineage(next_step(open_.select("node", "leaf"), leaf_rows, share)))
         few, many = nodes.where(F.col("size") <= small), nodes.where(F.col("size") > small)
-        rest = rest.unionByName(in_small_nodes(few, leaf_rows, least, roots).select("u", "v"))
+        rest = rest.unionByName(still_apart(few, leaf_rows, least, roots))
         crowded = not many.isEmpty()
-    rest = cut_lineage(rest.distinct())
-    return first if rest.isEmpty() else first.unionByName(confirmed(docs, own, rest, words, share))
+    rest = cut_lineage(rest)
+    return first if rest.isEmpty() else first.unionByName(links_in_nodes(docs, own, rest, words, share))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, share: float = 0.85, recall: float = 0.999, width: int = 128, small: int = 500, stars: int = 4, depth: int = 4) -> DataFrame:
