@@ -10,7 +10,7 @@
 
 A chunk that more than ``heavy`` words share (and words of which many begin alike, as in junk) would compare the square of
 that number. Such a chunk isn't used: its words meet at their deletion variants (the word, and the word without one of
-its letters), which two words of one edit share. That finds the same pairs in rows in proportion to the words.
+its letters), which two words of one edit share. That finds the same pairs in rows in proportion to the words that hold it.
 
 Null and empty texts have no words. Repeated rows count again. Other columns are ignored.
 """
@@ -76,7 +76,7 @@ def planted(doc_id: str | None, words: list[str]) -> list[str]:
     return [w if h % 31 else without(w, h % len(w)) for w, h in zip(words, hashes, strict=True)]
 
 
-def near_pairs(words: DataFrame, heavy: int = 1_000) -> DataFrame:
+def near_pairs(words: DataFrame, heavy: int = 100) -> DataFrame:
     """(a, b), a < b: all pairs of distinct words with exactly one inserted, deleted or replaced code point between them.
 
     ``words`` (word string) holds distinct words and is read several times: pass a materialised table.
@@ -97,18 +97,19 @@ def near_pairs(words: DataFrame, heavy: int = 1_000) -> DataFrame:
     met = x.join(crowded, on, "left_anti").join(y, on).where("x < y OR length(x) < length")  # words of one length meet both ways
     pairs = _verified(met)
     if not crowded.isEmpty():
-        pairs = pairs.unionByName(_verified(_by_deletion(x.join(crowded, on, "left_semi").select(F.col("x").alias("word")).distinct(), words)))
+        held = lambda side, name: side.join(crowded, on, "left_semi").select(F.col(name).alias("word")).distinct()
+        pairs = pairs.unionByName(_verified(_by_deletion(held(x, "x"), held(y, "y"))))
     return pairs.distinct()
 
 
-def _by_deletion(some: DataFrame, words: DataFrame) -> DataFrame:
-    """(x, y): words of ``some`` and of ``words`` that share a deletion variant."""
+def _by_deletion(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(x, y): words of both sides that share a deletion variant."""
 
     def variants(df: DataFrame, name: str) -> DataFrame:
         cut = F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.concat(F.col("word").substr(F.lit(1), i - 1), F.col("word").substr(i + 1, F.length("word"))))
         return df.select(F.col("word").alias(name), F.explode(F.array_distinct(F.concat(F.array("word"), cut))).alias("variant"))
 
-    return variants(some, "x").join(variants(words, "y"), "variant").select("x", "y")
+    return variants(left, "x").join(variants(right, "y"), "variant").select("x", "y")
 
 
 def _verified(met: DataFrame) -> DataFrame:
@@ -116,7 +117,7 @@ def _verified(met: DataFrame) -> DataFrame:
     return near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
-def variant_groups(words: DataFrame, times: int = 10, rounds: int = 4, heavy: int = 1_000) -> DataFrame:
+def variant_groups(words: DataFrame, times: int = 10, rounds: int = 4, heavy: int = 100) -> DataFrame:
     """(word, n, form, form_n, n_near, root) of every word of ``words`` (word, n).
 
     ``form`` is the near word of largest n (ties: the first in code-point order), if that is at least ``times`` the word's
