@@ -8,13 +8,14 @@ from trendlens.functions.labels import risk_level
 from trendlens.operators import daily, features, forecasting, serving, windows
 from trendlens.operators.sentiment import score_with_lexicon
 from trendlens.plans import batch_job
+from trendlens.plans.queries_copies import pairs_sql
 from trendlens.plans.queries_series import CLASS_SQL, SPIKE_CTE, events_daily, orders_daily
 from trendlens.plans.queries_text import feed
 from trendlens.plans.registry import query, stage
 from trendlens.session import scratch_path
 from trendlens.sources import readers, writers
-from trendlens.sources.adapters import articles_from_documents, orders_as_articles, table
-from trendlens.streaming import jobs
+from trendlens.sources.adapters import articles_from_documents, document_articles, orders_as_articles, table
+from trendlens.streaming import copy_index, jobs
 
 BY = ["source"]
 
@@ -423,13 +424,29 @@ def str1(spark, sf):
     path = scratch_path(spark, "intake")
     pages = jobs.file_stream(spark, sf, table(spark, sf, "pages").schema, "pages.parquet")
     when = F.timestamp_add("MINUTE", (F.col("page_id") * 53).cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp"))
-    jobs.intake(pages.select("url", when.alias("publishedAt")), f"{path}/out", f"{path}/checkpoint", "3650 days").awaitTermination()
+    jobs.intake(pages.select("url", when.alias("publishedAt")), f"{path}/out", f"{path}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{path}/out")
 
 
-def streamed_articles(spark, sf):
-    """The event articles as a stream of the same table."""
-    events = jobs.file_stream(spark, sf, table(spark, sf, "events").schema, "events.parquet")
+def arrivals(spark, sf, start):
+    """The event articles in three batches by time, a third of them up to a day and a half late, each run from the last checkpoint.
+
+    ``start(stream)`` starts the job over the stream of all files that are there.
+    """
+    path = scratch_path(spark, "arrivals")
+    events = table(spark, sf, "events")
+    late = F.when(F.col("event_id") % 3 == 0, F.make_dt_interval(hours=F.pmod(F.col("event_id"), F.lit(36)).cast("int"))).otherwise(F.make_dt_interval())
+    when = F.col("ts").cast("timestamp")
+    span = events.select(when.alias("t")).agg(F.min("t").alias("lo"), F.max("t").alias("hi")).first()
+    third = (span["hi"] - span["lo"]) / 3
+    part = (when + late > F.lit(span["lo"] + third)).cast("int") + (when + late > F.lit(span["lo"] + 2 * third)).cast("int")
+    for batch in range(3):
+        events.where(part == batch).write.parquet(f"{path}/batch={batch}")
+        rows = jobs.file_stream(spark, f"{path}/*", events.schema)
+        start(articles_of(rows)).awaitTermination()
+
+
+def articles_of(events):
     kind = F.col("event_type")
     return events.select(
         F.col("event_id").alias("article_id"), F.concat_ws(" ", kind, F.col("props")).alias("title"), F.concat_ws(" ", kind, F.col("props")).alias("text"),
@@ -437,26 +454,53 @@ def streamed_articles(spark, sf):
         F.when(kind.isin("purchase", "signup"), "positive").when(kind == "error", "negative").otherwise("neutral").alias("sentiment"))
 
 
+@query("str2_daily_stream", "date:s total_articles:i avg_sentiment:d std_sentiment:d min_sentiment:d max_sentiment:d dominant_sentiment:s", "SELECT * FROM dailye")
 def streamed_days(spark, sf):
     path = scratch_path(spark, "days")
-    jobs.write_updates(jobs.daily_stream(streamed_articles(spark, sf)), f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    arrivals(spark, sf, lambda rows: jobs.write_updates(jobs.daily_stream(rows), f"{path}/out", f"{path}/checkpoint", compact_every=2))
     return jobs.read_updates(spark, f"{path}/out")
 
 
-query("str2_daily_stream", "date:s total_articles:i avg_sentiment:d std_sentiment:d min_sentiment:d max_sentiment:d dominant_sentiment:s", "SELECT * FROM dailye")(streamed_days)
-
-
 @query("str3_score_stream", "article_id:i sentiment:s", """
 SELECT article_id, CASE WHEN title LIKE 'error%' THEN 'negative' WHEN title LIKE 'purchase%' OR title LIKE 'signup%' THEN 'positive' ELSE 'neutral' END AS sentiment FROM ev""")
 def str3(spark, sf):
     path = scratch_path(spark, "scored")
-    rows = streamed_articles(spark, sf).drop("sentiment")
-    jobs.score_stream(rows, f"{path}/out", f"{path}/checkpoint", score_with_lexicon).awaitTermination()
-    return spark.read.parquet(f"{path}/out")
-
-
-query("str4_spike_alerts", "date:s total_articles:i volume_spike:b sentiment_spike:b", """
+    arrivals(spark, sf, lambda rows: jobs.score_stream(rows.drop("sentiment"), f"{path}/out", f"{path}/checkpoint", score_with_lexicon, compact_every=2))
+    return jobs.read_scores(spark, f"{path}/out")
+
+
+_LINK_SQL = f"""{pairs_sql('docs', 0.70)},
+ap AS (SELECT least(x.article_id, y.article_id) AS i, greatest(x.article_id, y.article_id) AS j, cosine FROM prs JOIN mem x ON x.vid = prs.a JOIN mem y ON y.vid = prs.b
+       UNION ALL SELECT x.article_id, y.article_id, 1.0 FROM mem x JOIN mem y ON x.vid = y.vid AND x.article_id < y.article_id),
+ori AS (SELECT i + j - o AS c, o, cosine FROM (
+          SELECT i, j, cosine, CASE WHEN dj.publishedAt IS NULL OR di.publishedAt <= dj.publishedAt THEN i ELSE j END AS o FROM ap JOIN docs di ON di.article_id = i JOIN docs dj ON dj.article_id = j
+          WHERE coalesce(di.title, '') <> coalesce(dj.title, '') AND di.source IS DISTINCT FROM dj.source AND NOT (di.publishedAt IS NULL AND dj.publishedAt IS NULL))),
+bst AS (SELECT c, min(o) AS o, arg_min(cosine, o) AS cosine FROM ori GROUP BY c),
+cnt AS (SELECT o, count(*) AS n FROM bst GROUP BY o)"""
+
+
+@query("str3_copy_check", "article_id:i is_original:b duplicate_of:d original_source:s similarity_score:d similarity_category:s spread_count:i", f"""
+WITH {_LINK_SQL}
+RESULT SELECT d.article_id, bst.o IS NULL AS is_original, bst.o AS duplicate_of, coalesce(so.source, d.source) AS original_source, coalesce(cosine, 1.0) AS similarity_score,
+  CASE WHEN cosine >= 0.85 THEN 'semantic_copy' WHEN cosine IS NOT NULL THEN 'paraphrased' ELSE 'original' END AS similarity_category, coalesce(n, 0) AS spread_count
+FROM docs d LEFT JOIN bst ON c = article_id LEFT JOIN docs so ON so.article_id = bst.o LEFT JOIN cnt ON cnt.o = d.article_id""")
+def str3_copies(spark, sf):
+    """The articles in three files, in no order of time, as micro-batches; late ones become originals of earlier ones."""
+    path = scratch_path(spark, "arrivals")
+    rows = document_articles(spark, sf).select("article_id", "title", "text", "publishedAt", "source")
+    rows.repartitionByRange(3, F.xxhash64("article_id")).write.parquet(path)
+    index = copy_index.CopyIndex(spark, scratch_path(spark, "copy-index"), compact_every=2)
+    index.prepare(rows)
+    copy_index.copy_stream(jobs.file_stream(spark, path, rows.schema, files_per_batch=1), index, scratch_path(spark, "copy-checkpoint")).awaitTermination()
+    return index.marked()
+
+
+@query("str4_spike_alerts", "date:s total_articles:i volume_spike:b sentiment_spike:b", """
 WITH m AS (SELECT *, avg_sentiment - lag(avg_sentiment) OVER (ORDER BY date) AS ch FROM dailye), r AS (SELECT avg(total_articles) AS a, stddev_samp(total_articles) AS s FROM dailye),
 f AS (SELECT m.*, total_articles > a + 0.5 * s AS volume_spike, coalesce(abs(ch) > 0.02, false) AS sentiment_spike FROM m, r)
-RESULT SELECT * FROM f WHERE volume_spike OR sentiment_spike""")(
-    lambda spark, sf: jobs.spike_alerts(streamed_days(spark, sf), jobs.volume_reference(events_daily(spark, sf)), 0.5, 0.02))
+RESULT SELECT * FROM f WHERE volume_spike OR sentiment_spike""")
+def str4(spark, sf):
+    path = scratch_path(spark, "alerts")
+    reference = jobs.volume_reference(events_daily(spark, sf))
+    arrivals(spark, sf, lambda rows: jobs.alert_stream(jobs.daily_stream(rows), reference, f"{path}/out", f"{path}/checkpoint", 0.5, 0.02, compact_every=2))
+    return jobs.read_alerts(spark, f"{path}/out")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from trendlens.functions import labels
 from trendlens.functions.text import WHITESPACE
-from trendlens.operators import dashboard, metrics, scorecard, sentiment, summary, topics, windows
+from trendlens.operators import dashboard, density, metrics, neighbours, scorecard, sentiment, summary, topics, windows
 from trendlens.plans.queries_copies import SPREAD_SQL, spread_table
 from trendlens.plans.queries_series import orders_daily
 from trendlens.plans.registry import query, stage
@@ -213,6 +213,56 @@ def top4(spark, sf):
     return topics.topic_sizes(clustered)
 
 
+# Density clusters by brute force: all distances, a tree grown point by point, and its edges joined in order. State is in lists,
+# one entry a point: its lightest edge to the tree, then its component's label and, by label, size, sum of the inverse weights
+# at which points leave, and the best total of the clusters below.
+DENSITY_SQL = """
+p AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS i, vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+d AS MATERIALIZED (SELECT a.i AS a, b.i AS b, round(list_distance(a.v, b.v), 9) AS d FROM p a, p b WHERE a.i <> b.i),
+ne AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY a ORDER BY d, b) AS rank FROM d),
+co AS (SELECT a AS i, d AS core FROM ne WHERE rank = 2),
+wl AS MATERIALIZED (SELECT a, list(w ORDER BY b) AS ws FROM (
+  SELECT a, b, greatest(d, x.core, y.core) AS w FROM d JOIN co x ON x.i = a JOIN co y ON y.i = b UNION ALL SELECT i, i, 'infinity'::DOUBLE FROM p) GROUP BY a),
+us AS (SELECT list(i ORDER BY i) AS u FROM p),
+pr AS (
+  SELECT 1 AS step, NULL::STRUCT(w DOUBLE, lo BIGINT, hi BIGINT, u BIGINT) AS e, list_transform(u, lambda x: x = 1) AS done,
+    list_transform(u, lambda x: {'w': ws[x], 'lo': 1::BIGINT, 'hi': x}) AS best FROM us, wl WHERE a = 1
+  UNION ALL
+  SELECT step + 1, n.e, list_transform(u, lambda x: done[x] OR x = n.e.u),
+    list_transform(u, lambda x: least(best[x], {'w': ws[x], 'lo': least(x, n.e.u), 'hi': greatest(x, n.e.u)}))
+  FROM (SELECT step, done, best, list_min(list_transform(list_filter(u, lambda x: NOT done[x]), lambda x: {'w': best[x].w, 'lo': best[x].lo, 'hi': best[x].hi, 'u': x})) AS e FROM pr, us WHERE step < len(u)) n
+  JOIN wl ON wl.a = n.e.u, us),
+te AS MATERIALIZED (SELECT row_number() OVER (ORDER BY e.w, e.lo, e.hi) AS t, e.lo AS lo, e.hi AS hi, e.w AS w FROM pr WHERE e IS NOT NULL),
+ag AS (
+  SELECT 0::BIGINT AS t, u AS comp, list_transform(u, lambda x: 1::BIGINT) AS size, list_transform(u, lambda x: 0.0::DOUBLE) AS mass, list_transform(u, lambda x: 0.0::DOUBLE) AS below,
+    list_transform(u, lambda x: NULL::BIGINT) AS pick FROM us
+  UNION ALL
+  SELECT s.t, list_transform(comp, lambda c: CASE WHEN c = b THEN a ELSE c END), list_transform(u, lambda x: CASE WHEN x = a THEN size[a] + size[b] ELSE size[x] END),
+    list_transform(u, lambda x: CASE WHEN x <> a THEN mass[x] WHEN ba = bb THEN CASE WHEN size[a] + size[b] >= 8 THEN (size[a] + size[b]) * lam ELSE 0.0 END
+                                     WHEN ba THEN mass[a] + size[b] * lam ELSE mass[b] + size[a] * lam END),
+    list_transform(u, lambda x: CASE WHEN x <> a THEN below[x] WHEN ba AND bb THEN greatest(mass[a] - size[a] * lam, below[a]) + greatest(mass[b] - size[b] * lam, below[b])
+                                     WHEN ba THEN below[a] WHEN bb THEN below[b] ELSE 0.0 END),
+    list_transform(u, lambda x: CASE WHEN ba AND bb AND comp[x] = a AND round(mass[a] - size[a] * lam - below[a], 9) >= 0 THEN 2 * s.t
+                                     WHEN ba AND bb AND comp[x] = b AND round(mass[b] - size[b] * lam - below[b], 9) >= 0 THEN 2 * s.t + 1 ELSE pick[x] END)
+  FROM (SELECT te.t, comp, size, mass, below, pick, comp[lo] AS a, comp[hi] AS b, size[comp[lo]] >= 8 AS ba, size[comp[hi]] >= 8 AS bb, 1.0 / greatest(w, 1e-9) AS lam
+        FROM ag JOIN te ON te.t = ag.t + 1) s, us),
+ch AS MATERIALIZED (SELECT unnest(u) AS i, unnest(pick) AS c FROM (SELECT pick FROM ag ORDER BY t DESC LIMIT 1), us),
+tp AS (SELECT c, row_number() OVER (ORDER BY count(*) DESC, min(i)) - 1 AS topic FROM ch WHERE c IS NOT NULL GROUP BY c)"""
+
+query("top4_nearest_neighbours", "id:i other:i distance:d rank:i", f"""
+WITH {DENSITY_SQL}
+RESULT SELECT x.vec_id AS id, y.vec_id AS other, d AS distance, rank FROM ne JOIN p x ON x.i = a JOIN p y ON y.i = b WHERE rank <= 5""")(
+    lambda spark, sf: neighbours.nearest_neighbours(table(spark, sf, "embeddings"), 5))
+query("top4_density_spanning_tree", "lo:i hi:i weight:d", f"""
+WITH {DENSITY_SQL}
+RESULT SELECT x.vec_id AS lo, y.vec_id AS hi, w AS weight FROM te JOIN p x ON x.i = lo JOIN p y ON y.i = hi""")(
+    lambda spark, sf: density.tree_edges(table(spark, sf, "embeddings")))
+query("top4_density_topics", "vec_id:i topic:i", f"""
+WITH {DENSITY_SQL}
+RESULT SELECT vec_id, coalesce(topic, -1) AS topic FROM ch JOIN p USING (i) LEFT JOIN tp USING (c)""")(
+    lambda spark, sf: density.density_clusters(table(spark, sf, "embeddings")))
+
+
 def labelled_vectors(spark, sf):
     return table(spark, sf, "embeddings").withColumnRenamed("label", "topic")
 

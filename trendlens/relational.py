@@ -116,6 +116,28 @@ def follow(pointers: DataFrame, rounds: int = 64) -> DataFrame:
     raise ValueError("pointers form a cycle")
 
 
+def connected(edges: DataFrame, rounds: int = 64) -> DataFrame:
+    """(node, root) of every node of ``edges`` (u long, v long): the least node that it is connected to.
+
+    Each round hooks every component to the least neighbouring one and contracts the chains, so components halve at least.
+    """
+    roots = None
+    now = cut_lineage(edges.where("u <> v").select("u", "v").distinct())
+    for _ in range(rounds):
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        step = follow(both.groupBy("u").agg(F.least("u", F.min("v")).alias("up")).toDF("node", "up"), rounds)
+        if roots is None:
+            roots = step
+        else:
+            hop = step.toDF("root", "next")
+            roots = cut_lineage(roots.join(hop, "root", "left").select("node", F.coalesce("next", "root").alias("root")))
+        a, b = step.toDF("u", "a"), step.toDF("v", "b")
+        now = cut_lineage(now.join(a, "u").join(b, "v").where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
+        if now.isEmpty():
+            return roots
+    raise RuntimeError(f"components did not settle in {rounds} rounds")
+
+
 def group_percentiles(df: DataFrame, by: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:
     """Exact interpolated quantiles per group, computed from ranks.
 
