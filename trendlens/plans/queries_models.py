@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trendlens.functions.labels import risk_level
+from trendlens.functions.text import PAYWALL_MARKER, WHITESPACE
 from trendlens.operators import daily, features, forecasting, serving, windows
 from trendlens.operators.sentiment import score_with_lexicon
 from trendlens.plans import batch_job
 from trendlens.plans.queries_copies import pairs_sql
 from trendlens.plans.queries_series import CLASS_SQL, SPIKE_CTE, events_daily, orders_daily
-from trendlens.plans.queries_text import feed
+from trendlens.plans.queries_reports import lexicon_sql
+from trendlens.plans.queries_text import CLEAN_SQL, feed
 from trendlens.plans.registry import query, stage
 from trendlens.session import scratch_path
-from trendlens.sources import readers, writers
+from trendlens.sources import keyed, readers, writers
 from trendlens.sources.adapters import articles_from_documents, document_articles, orders_as_articles, table
 from trendlens.streaming import copy_index, jobs
 
@@ -297,11 +299,46 @@ RESULT SELECT event_id, risk_level, CASE risk_level WHEN 'HIGH' THEN 'HIGH SPIKE
     lambda spark, sf: serving.spike_alert(table(spark, sf, "events").select("event_id", F.round(F.col("value") / (F.col("value") + 10), 3).alias("probability"))))
 
 
-@query("srv12_run_batch", "stage:s outcome:s")
-def srv12(spark, sf):
-    raw = articles_from_documents(spark, sf).select("article_id", "title", "text", "publishedAt", "source")
-    done = batch_job.run_batch(spark, raw, scratch_path(spark, "batch"), k_topics=4)
-    return spark.createDataFrame(list(done.items()), "stage string, outcome string")
+def batch_runs(spark, sf):
+    """Three runs of the batch job: two thirds of the articles, all of them, and the same once more."""
+
+    def build(spark, sf):
+        out = scratch_path(spark, "batch")
+        raw = document_articles(spark, sf).select("article_id", "title", "text", "publishedAt", "source")
+        rows = []
+        for number, part in enumerate((raw.where("article_id % 3 <> 0"), raw, raw)):
+            run = batch_job.run_batch(spark, part, out, summariser=lambda df: df.withColumn("summary", F.substring("text", 1, 200)), train=number == 1)
+            rows += [(number + 1, name, run.worked.get(name, 0), outcome, out) for name, outcome in run.outcome.items()]
+        return spark.createDataFrame(rows, "run int, stage string, worked long, outcome string, out string")
+
+    return stage("batch-runs", spark, sf, build)
+
+
+_KEPT_SQL = f"""{CLEAN_SQL}, kp AS (SELECT * FROM (SELECT article_id, title, clean_text AS text, source, publishedAt, row_number() OVER (PARTITION BY title, publishedAt, source ORDER BY article_id DESC) AS rn
+  FROM cw WHERE NOT contains(text, '{PAYWALL_MARKER}') AND words >= 100) WHERE rn = 1)"""
+
+query("srv12_run_batch", "run:i stage:s worked:i outcome:s", f"""
+WITH {_KEPT_SQL}, n AS (SELECT count_if(article_id % 3 <> 0) AS a, count_if(article_id % 3 = 0) AS b FROM docs), k AS (SELECT count_if(article_id % 3 <> 0) AS a, count_if(article_id % 3 = 0) AS b FROM kp)
+RESULT SELECT unnest([1, 1, 1, 1, 1, 2, 2, 2, 2, 2, 2, 3, 3, 3, 3, 3, 3]) AS run,
+  unnest(['articles', 'articles_with_sentiment', 'articles_with_topics', 'articles_with_summary', 'scorecard', 'articles', 'articles_with_sentiment', 'articles_with_topics', 'articles_with_summary', 'models', 'scorecard',
+          'articles', 'articles_with_sentiment', 'articles_with_topics', 'articles_with_summary', 'models', 'scorecard']) AS stage,
+  unnest([n.a, k.a, k.a, k.a, 0, n.b, k.b, k.a + k.b, k.b, 0, 0, 0, 0, 0, 0, 0, 0]) AS worked,
+  unnest(['ok', 'ok', 'ok', 'ok', 'ok', 'ok', 'ok', 'ok', 'ok', 'ok', 'ok', 'ok', 'ok', 'unchanged', 'unchanged', 'unchanged', 'unchanged']) AS outcome FROM n, k""")(batch_runs)
+query("srv12_incremental_rows", "article_id:i title:s source:s sentiment:s sentiment_confidence:d summary:s", f"""
+WITH {_KEPT_SQL}, {lexicon_sql('kp', 'text')}
+RESULT SELECT article_id, title, source, predicted AS sentiment, confidence AS sentiment_confidence, substring(trim(regexp_replace(text, '{WHITESPACE}', ' ', 'g')), 1, 200) AS summary FROM scd""")(
+    lambda spark, sf: readers.read_stage_table(spark, batch_runs(spark, sf).first()["out"] + "/final"))
+
+
+@query("snk3_upsert", "article_id:i title:s source:s note:s", """
+SELECT article_id, title, source, CASE WHEN article_id % 5 = 0 THEN 'second' ELSE 'first' END AS note FROM docs WHERE article_id % 2 = 0 OR article_id % 5 = 0""")
+def snk3_upsert(spark, sf):
+    """Two upserts that overlap: the second replaces equal keys and adds new ones, in the days it touches."""
+    rows = document_articles(spark, sf).select("article_id", "title", "source", "publishedAt")
+    table = keyed.KeyedTable(spark, scratch_path(spark, "upserts"))
+    table.upsert(rows.where("article_id % 2 = 0").withColumn("note", F.lit("first")))
+    table.upsert(rows.where("article_id % 5 = 0").withColumn("note", F.lit("second")))
+    return table.read()
 
 
 # --- sources and sinks ------------------------------------------------------------------------
