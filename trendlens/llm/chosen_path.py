@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendlens.llm.common import byte_texts, components, cut_lineage, pieces, release, stage_table
-from trendlens.llm.shingle_sets import SLACK, confirmed, keyed, leaves, mixed, sets_of, shingle_sets
+from trendlens.llm.shingle_sets import by_node, confirmed, exact_links, first_rows, grouped, keyed, leaves, mixed, sets_of, shingle_sets
 
 MASK = (1 << 64) - 1
 
@@ -172,32 +172,14 @@ def _connecting(tokens: np.ndarray, own: np.ndarray, least: int) -> tuple[np.nda
     return a, b, (total > kept)[root[a]] if len(a) else np.zeros(0, bool)
 
 
-def _by_node(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches sorted by node, cut anew so that no node is cut."""
-    rest: list[pa.RecordBatch] = []
-    for batch in it:
-        if not batch.num_rows:
-            continue
-        nodes = batch.column(0).to_numpy()
-        cut = int(np.searchsorted(nodes == nodes[-1], True))
-        if rest and (cut or rest[-1].column(0)[0].as_py() != nodes[0]):
-            yield pa.Table.from_batches([*rest, batch.slice(0, cut)]).combine_chunks().to_batches()[0]
-            rest = []
-        elif cut:
-            yield batch.slice(0, cut)
-        rest.append(batch.slice(cut))
-    if rest:
-        yield pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
-
-
 def _pairs_in_nodes(least: int):
     """Pairs (node, a, b, more) of the rows (node, leaf, signature) that connect what is alike in each node."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _by_node(it):
+        for batch in by_node(it):
             node, own = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             tokens = _matrix(batch.column(2), "<u4").astype(np.uint16)
-            first, size = _nodes(node)
+            first, size = first_rows(node)
             two = first[size == 2]
             two = two[((tokens[two] == tokens[two + 1]).sum(axis=1) >= least) & (own[two] != own[two + 1])]
             parts = [(two, two + 1, np.zeros(len(two), bool))]
@@ -214,11 +196,11 @@ def _apart_in_nodes(least: int):
     """Rows (node, leaf) of (node, leaf, signature, root) that are alike to a row of the node with another root."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _by_node(it):
+        for batch in by_node(it):
             node, own, roots = (batch.column(i).to_numpy() for i in (0, 1, 3))
             tokens = _matrix(batch.column(2), "<u4").astype(np.uint16)
             marked = np.zeros(len(node), bool)
-            for at, n in zip(*(x.tolist() for x in _nodes(node)), strict=True):
+            for at, n in zip(*(x.tolist() for x in first_rows(node)), strict=True):
                 part = slice(at, at + n)
                 for i, others in _alike(tokens[part], own[part], roots[part], least):
                     if len(others):
@@ -229,55 +211,6 @@ def _apart_in_nodes(least: int):
     return run
 
 
-def _nodes(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First row and size of each node of sorted rows."""
-    first = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
-    return first, np.diff(np.append(first, len(node)))
-
-
-def linked(sets: list[np.ndarray], share: float, width: int = 4096) -> np.ndarray:
-    """Which of the sorted sets have a Jaccard similarity of ``share`` or more, as a matrix."""
-    n = np.array([len(x) for x in sets], np.int64)
-    items, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(sets)), n)
-    place = np.cumsum(times > 1) - 1  # items of one set only are in no intersection
-    keep = times[at] > 1
-    owner, column = owner[keep], place[at[keep]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    common = np.zeros((len(sets), len(sets)))
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
-        a, b = np.searchsorted(column, (low, low + width))
-        held = np.zeros((len(sets), width), np.float32)
-        held[owner[a:b], column[a:b] - low] = 1
-        common += held @ held.T
-    return common >= share * (n[:, None] + n - common) - SLACK
-
-
-def _links_in_nodes(share: float):
-    """Links (u, v) that connect the rows (node, leaf, items) of each node as all links between them do."""
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _by_node(it):
-            own, items = batch.column(1).to_numpy(), batch.column(2)
-            u, v = [], []
-            for at, n in zip(*(x.tolist() for x in _nodes(batch.column(0).to_numpy())), strict=True):
-                near = linked([np.frombuffer(x.as_py(), "<u8") for x in items.slice(at, n)], share)
-                free = np.ones(n, bool)
-                while free.any():
-                    reached = [int(free.argmax())]
-                    free[reached[0]] = False
-                    for i in reached:
-                        new = np.flatnonzero(near[i] & free)
-                        free[new] = False
-                        reached += new.tolist()
-                        u += [own[at + i]] * len(new)
-                        v += own[at + new].tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["a", "b"])
-
-    return run
-
-
 _PAIRS = "node long, a long, b long, more boolean"
 
 
@@ -285,28 +218,23 @@ def _ends(df: DataFrame, *more: str) -> DataFrame:
     return df.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), *more)
 
 
-def _grouped(rows: DataFrame) -> DataFrame:
-    """Rows dealt by node and sorted, for functions over whole nodes."""
-    return rows.repartition("node").sortWithinPartitions("node", "leaf")
-
-
 def connecting_pairs(rows: DataFrame, leaf_rows: DataFrame, least: int) -> DataFrame:
     """Pairs (u, v, node, more) that connect what is alike in nodes of bounded size."""
     held = rows.select("node", "leaf").join(leaf_rows.select("leaf", "signature"), "leaf").select("node", "leaf", "signature")
-    return _ends(_grouped(held).mapInArrow(_pairs_in_nodes(least), _PAIRS), "node", "more")
+    return _ends(grouped(held).mapInArrow(_pairs_in_nodes(least), _PAIRS), "node", "more")
 
 
 def still_apart(rows: DataFrame, leaf_rows: DataFrame, least: int, roots: DataFrame) -> DataFrame:
     """(node, leaf) of nodes of bounded size whose signature is alike to one of another component in the node."""
     held = _rooted(rows.select("node", "leaf").join(leaf_rows.select("leaf", "signature"), "leaf"), roots)
-    return _grouped(held.select("node", "leaf", "signature", "root")).mapInArrow(_apart_in_nodes(least), "node long, leaf long")
+    return grouped(held.select("node", "leaf", "signature", "root")).mapInArrow(_apart_in_nodes(least), "node long, leaf long")
 
 
 def links_in_nodes(docs: DataFrame, own: DataFrame, rows: DataFrame, words: int, share: float) -> DataFrame:
     """Links (u, v) between the leaves of nodes of bounded size, all of them compared on full sets; ``rows`` must be materialised."""
     sets = sets_of(docs, own, rows.select("leaf").distinct(), words)
     held = rows.join(sets, "leaf").select("node", "leaf", "items")
-    return cut_lineage(_ends(_grouped(held).mapInArrow(_links_in_nodes(share), "a long, b long")).distinct())
+    return cut_lineage(_ends(grouped(held).mapInArrow(exact_links(share), "a long, b long")).distinct())
 
 
 def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:

@@ -13,10 +13,10 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import bit_table, byte_texts, cut_lineage, in_table, pieces, stage_table
+from trendlens.llm.common import bit_table, byte_texts, components, cut_lineage, in_table, light_side, pieces, stage_table
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SLACK = 1e-9
@@ -76,19 +76,22 @@ def leaves(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.fromiter(hashes, np.uint64, len(ends)).view(np.int64)
 
 
+def row_uid() -> Column:
+    """A hash that names a row, or rows that are equal in id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, uid, text): ``uid`` names a row, or rows that are equal."""
-    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    return docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, text).alias("uid"), text.alias("text"))
+    """(doc_id, uid, text)."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_uid().alias("uid"), F.col("text").cast("string").alias("text"))
 
 
-def sets_of(docs: DataFrame, own: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(leaf, items) of the ``wanted`` (leaf) leaves, each once, as a table.
+def wanted_sets(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
+    """``rows`` (uid, leaf, and further columns; materialised) with the ``items`` of each leaf.
 
-    ``own`` holds (uid, leaf) of the rows of ``docs`` (``keyed``). One row of each leaf is shingled once more; it is found by a
-    bit table of fixed size inside the map, so texts aren't shuffled.
+    The rows of ``docs`` (``keyed``) that have them are found by a bit table of fixed size inside the map, so texts aren't
+    shuffled. Rows of ``docs`` that are equal give equal rows.
     """
-    rows = cut_lineage(own.join(wanted, "leaf", "left_semi").groupBy("leaf").agg(F.min("uid").alias("uid")))
     packed = docs.sparkSession.sparkContext.broadcast(bit_table(rows, "uid"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,8 +103,13 @@ def sets_of(docs: DataFrame, own: DataFrame, wanted: DataFrame, words: int) -> D
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(leaves(values, ends)), items.cast(pa.binary())], names=["uid", "leaf", "items"])
 
     found = docs.select("uid", "text").mapInArrow(run, "uid long, leaf long, items binary")
-    found = found.join(rows, ["uid", "leaf"], "left_semi")
-    return stage_table(found.dropDuplicates(["leaf"]).select("leaf", "items"), "shingle-sets")
+    return found.join(light_side(rows), ["uid", "leaf"])
+
+
+def sets_of(docs: DataFrame, own: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(leaf, items) of the ``wanted`` (leaf) leaves, each once, as a table; ``own`` holds (uid, leaf) of the rows of ``docs``."""
+    rows = cut_lineage(own.join(wanted, "leaf", "left_semi").groupBy("leaf").agg(F.min("uid").alias("uid")))
+    return stage_table(wanted_sets(docs, rows, words).dropDuplicates(["leaf"]).select("leaf", "items"), "shingle-sets")
 
 
 def common_items(a: np.ndarray, b: np.ndarray) -> int:
@@ -135,3 +143,95 @@ def confirmed(docs: DataFrame, own: DataFrame, pairs: DataFrame, words: int, sha
 
     both = pairs.select("u", "v").join(left, "u").join(right, "v").select("u", "v", "x", "y")
     return cut_lineage(both.mapInArrow(run, "u long, v long"))
+
+
+# --- groups -------------------------------------------------------------------------------------
+
+
+def grouped(rows: DataFrame) -> DataFrame:
+    """Rows dealt by node and sorted, for functions over whole nodes."""
+    return rows.repartition("node").sortWithinPartitions("node", "leaf")
+
+
+def by_node(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by node, cut anew so that no node is cut."""
+    rest: list[pa.RecordBatch] = []
+    for batch in it:
+        if not batch.num_rows:
+            continue
+        nodes = batch.column(0).to_numpy()
+        cut = int(np.searchsorted(nodes == nodes[-1], True))
+        if rest and (cut or rest[-1].column(0)[0].as_py() != nodes[0]):
+            yield pa.Table.from_batches([*rest, batch.slice(0, cut)]).combine_chunks().to_batches()[0]
+            rest = []
+        elif cut:
+            yield batch.slice(0, cut)
+        rest.append(batch.slice(cut))
+    if rest:
+        yield pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
+
+
+def first_rows(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First row and size of each node of sorted rows."""
+    first = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
+    return first, np.diff(np.append(first, len(node)))
+
+
+def linked(sets: list[np.ndarray], share: float, width: int = 4096) -> np.ndarray:
+    """Which of the sorted sets have a Jaccard similarity of ``share`` or more, as a matrix."""
+    n = np.array([len(x) for x in sets], np.int64)
+    items, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), n)
+    place = np.cumsum(times > 1) - 1  # items of one set only are in no intersection
+    keep = times[at] > 1
+    owner, column = owner[keep], place[at[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((len(sets), len(sets)))
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, (low, low + width))
+        held = np.zeros((len(sets), width), np.float32)
+        held[owner[a:b], column[a:b] - low] = 1
+        common += held @ held.T
+    return common >= share * (n[:, None] + n - common) - SLACK
+
+
+def exact_links(share: float):
+    """Links (u, v) that connect the rows (node, leaf, items) of each node as all links between them do."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_node(it):
+            own, items = batch.column(1).to_numpy(), batch.column(2)
+            u, v = [], []
+            for at, n in zip(*(x.tolist() for x in first_rows(batch.column(0).to_numpy())), strict=True):
+                near = linked([np.frombuffer(x.as_py(), "<u8") for x in items.slice(at, n)], share)
+                free = np.ones(n, bool)
+                while free.any():
+                    reached = [int(free.argmax())]
+                    free[reached[0]] = False
+                    for i in reached:
+                        new = np.flatnonzero(near[i] & free)
+                        free[new] = False
+                        reached += new.tolist()
+                        u += [own[at + i]] * len(new)
+                        v += own[at + new].tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def links_in_clusters(docs: DataFrame, own: DataFrame, pairs: DataFrame, words: int, share: float, bound: int = 500) -> DataFrame:
+    """Links (u, v) that connect leaves as the ``pairs`` (u, v) of Jaccard ``share`` or more do; ``pairs`` must be materialised.
+
+    Leaves that pairs connect are a cluster. A cluster of up to ``bound`` leaves is compared as a whole in one place, so each
+    set is sent once however many pairs it has; the pairs of larger ones are confirmed one by one.
+    """
+    clusters = components(pairs)
+    sizes = cut_lineage(clusters.groupBy("root").agg(F.count("*").alias("size")))
+    sized = cut_lineage(clusters.join(sizes, "root").select(F.col("node").alias("leaf"), F.col("root").alias("node"), (F.col("size") > bound).alias("large")))
+    small = sized.where("NOT large").select("leaf", "node")
+    rows = cut_lineage(own.join(small, "leaf").groupBy("leaf", "node").agg(F.min("uid").alias("uid")))
+    links = grouped(wanted_sets(docs, rows, words).select("node", "leaf", "items")).mapInArrow(exact_links(share), "a long, b long")
+    links = links.where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+    large = cut_lineage(pairs.select("u", "v").join(sized.where("large").select(F.col("leaf").alias("u")), "u", "left_semi"))
+    return cut_lineage(links) if large.isEmpty() else cut_lineage(links).unionByName(confirmed(docs, own, large, words, share))
