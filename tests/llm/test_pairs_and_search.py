@@ -84,13 +84,6 @@ def test_subtrie_split_keeps_links(spark):
         assert brute_components(sorted(signed), lambda a, b, links=links: (a, b) in links) == expected
 
 
-def test_keep_one(spark):
-    rows = [(5, "a b c d e f"), (2, "a b c d e f"), (7, "other words stand here now"), (7, "other words stand here now"), (None, "a b c d e f"), (8, None), (9, "")]
-    kept = simhash_trie.keep_one_of_each(spark.createDataFrame(rows, DOC)).collect()
-    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [(0, "a b c d e f"), (2, "a b c d e f"), (7, "other words stand here now"), (8, "")]
-    assert simhash_trie.keep_one_of_each(spark.createDataFrame([], DOC)).count() == 0
-
-
 def test_maxscore_shard_is_exact():
     rng = np.random.default_rng(1)
     for _ in range(150):

@@ -248,5 +248,5 @@ def verdicts(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without contaminated documents; rows with a null doc_id stay, as no id names them."""
-    bad = cut_lineage(leaks(docs, items, **options).select(F.col("doc_id").alias("bad_id")).distinct())
-    return docs.join(light_side(bad), F.col("doc_id") == F.col("bad_id"), "left_anti")
+    bad = cut_lineage(leaks(docs, items, **options).select(F.col("doc_id").alias("__contaminated_id")).distinct())
+    return docs.join(light_side(bad), F.col("doc_id") == F.col("__contaminated_id"), "left_anti")

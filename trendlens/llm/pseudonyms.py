@@ -18,18 +18,20 @@ from __future__ import annotations
 
 import hashlib
 import re
+import secrets
 from collections.abc import Callable
 from datetime import date, timedelta
 from math import isqrt
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlens.llm.common import batches, pass_through
 
 KINDS = ("email", "card", "iban", "ssn", "phone", "ipv4", "date")
-DEMO_KEY = b"replace-me-with-a-secret-key"
+DEMO_KEY = b"replace-me-with-a-secret-key"  # for the query and tests
+KEY_SETTING = "spark.trendlens.pseudonymKey"
 ROUNDS = 8
 
 
@@ -238,8 +240,16 @@ def pseudonymise(text: str, key: bytes, back: bool = False) -> tuple[str, list[t
     return "".join(out) + text[at:], [(k, a, b) for a, b, k, _ in sorted(found)]
 
 
-def replace_personal_data(docs: DataFrame, key: bytes = DEMO_KEY, with_counts: bool = False) -> DataFrame:
-    """``docs`` with pseudonyms in ``text``; with ``with_counts`` also a column n_<kind> for each kind."""
+def secret_key(spark: SparkSession) -> bytes:
+    """The key in the setting ``KEY_SETTING``, or a fresh one that nobody keeps: values are linked, but nobody can undo them."""
+    key = spark.conf.get(KEY_SETTING, None)
+    return key.encode() if key else secrets.token_bytes(32)
+
+
+def replace_personal_data(docs: DataFrame, key: bytes, with_counts: bool = False) -> DataFrame:
+    """``docs`` with pseudonyms in ``text``; with ``with_counts`` also a column n_<kind> for each kind, in place of one of its name."""
+    if with_counts:
+        docs = docs.drop(*[f"n_{k}" for k in KINDS])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     names = [f"n_{k}" for k in KINDS]
     if with_counts:

@@ -70,7 +70,7 @@ def op7_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return pseudonyms.replace_personal_data(docs, with_counts=True)
+    return pseudonyms.replace_personal_data(docs, pseudonyms.DEMO_KEY, with_counts=True)
 
 
 @query

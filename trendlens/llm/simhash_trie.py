@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import byte_texts, components, cut_lineage, light_side, pieces
+from trendlens.llm.common import byte_texts, components, cut_lineage, pieces
 
 BITS, STEP = 64, 4
 
@@ -190,21 +190,3 @@ def near_duplicate_components(docs: DataFrame, words: int = 4, seed: int = 42, d
     by_fp = named.join(least, "root").select("fp", "component_id")
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return own.join(by_fp, "fp").select("doc_id", text.alias("fingerprint"), "component_id")
-
-
-def keep_one_of_each(docs: DataFrame, words: int = 4, seed: int = 42, differ: int = 4) -> DataFrame:
-    """``docs`` with one row of each near-duplicate component: its smallest doc_id.
-
-    Of rows that repeat a doc_id the first by text stays. Rows with a null doc_id cannot be told apart
-    by it and stay.
-    """
-    found = near_duplicate_components(docs, words, seed, differ)
-    copies = cut_lineage(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct())
-    kept = docs.join(light_side(copies), F.col("doc_id") == F.col("gone"), "left_anti")
-    again = cut_lineage(docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("twice")))
-    if again.isEmpty():
-        return kept
-    repeated = kept.join(light_side(again), F.col("doc_id") == F.col("twice"), "left_semi")
-    others = kept.join(light_side(again), F.col("doc_id") == F.col("twice"), "left_anti")
-    row = F.struct(F.coalesce("text", F.lit("")).alias("t"), F.struct(*docs.columns).alias("row"))
-    return others.unionByName(repeated.groupBy("doc_id").agg(F.min(row).alias("x")).select("x.row.*"))
