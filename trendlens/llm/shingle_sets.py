@@ -220,18 +220,28 @@ def exact_links(share: float):
     return run
 
 
-def links_in_clusters(docs: DataFrame, own: DataFrame, pairs: DataFrame, words: int, share: float, bound: int = 500) -> DataFrame:
+def links_in_clusters(docs: DataFrame, own: DataFrame, pairs: DataFrame, words: int, share: float, bound: int = 250) -> DataFrame:
     """Links (u, v) that connect leaves as the ``pairs`` (u, v) of Jaccard ``share`` or more do; ``pairs`` must be materialised.
 
     Leaves that pairs connect are a cluster. A cluster of up to ``bound`` leaves is compared as a whole in one place, so each
-    set is sent once however many pairs it has; the pairs of larger ones are confirmed one by one.
+    set is sent once however many pairs it has. In larger ones the end of a pair that has fewer pairs goes to where the
+    other one is, up to ``bound`` at a time. Sets are made in the map and shuffled once.
     """
     clusters = components(pairs)
     sizes = cut_lineage(clusters.groupBy("root").agg(F.count("*").alias("size")))
     sized = cut_lineage(clusters.join(sizes, "root").select(F.col("node").alias("leaf"), F.col("root").alias("node"), (F.col("size") > bound).alias("large")))
-    small = sized.where("NOT large").select("leaf", "node")
-    rows = cut_lineage(own.join(small, "leaf").groupBy("leaf", "node").agg(F.min("uid").alias("uid")))
-    links = grouped(wanted_sets(docs, rows, words).select("node", "leaf", "items")).mapInArrow(exact_links(share), "a long, b long")
-    links = links.where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+    groups = sized.where("NOT large").select("leaf", "node")
     large = cut_lineage(pairs.select("u", "v").join(sized.where("large").select(F.col("leaf").alias("u")), "u", "left_semi"))
-    return cut_lineage(links) if large.isEmpty() else cut_lineage(links).unionByName(confirmed(docs, own, large, words, share))
+    if not large.isEmpty():
+        degrees = large.select(F.explode(F.array("u", "v")).alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n"))
+        of = lambda x: degrees.select(F.col("leaf").alias(x), F.col("n").alias(f"n_{x}"))
+        ends = large.join(of("u"), "u").join(of("v"), "v")
+        more = F.struct("n_u", "u") > F.struct("n_v", "v")
+        ends = ends.select(F.when(more, F.col("u")).otherwise(F.col("v")).alias("hub"), F.when(more, F.col("v")).otherwise(F.col("u")).alias("leaf"), F.greatest("n_u", "n_v").alias("n"))
+        node = F.xxhash64("hub", F.pmod(F.xxhash64(F.lit(3), "leaf"), F.ceil(F.col("n") / bound)))
+        ends = cut_lineage(ends.withColumn("node", node))
+        groups = groups.unionByName(ends.select("leaf", "node")).unionByName(ends.select(F.col("hub").alias("leaf"), "node").distinct())
+    named = own.groupBy("leaf").agg(F.min("uid").alias("uid"))
+    rows = cut_lineage(groups.join(named, "leaf").select("uid", "leaf", "node"))
+    links = grouped(wanted_sets(docs, rows, words).select("node", "leaf", "items")).mapInArrow(exact_links(share), "a long, b long")
+    return cut_lineage(links.where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct())
