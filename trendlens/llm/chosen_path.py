@@ -284,8 +284,11 @@ def apart_by_blocks(rows: DataFrame, leaf_rows: DataFrame, least: int, roots: Da
     return still_apart(dealt.select(part.alias("node"), "leaf").distinct(), leaf_rows, least, roots)
 
 
-def near_duplicate_links(docs: DataFrame, own: DataFrame, leaf_rows: DataFrame, words: int, share: float, recall: float, width: int, small: int, stars: int, depth: int) -> DataFrame:
-    """Confirmed links (u, v) that connect leaves as all links do, with the stated recall."""
+def near_duplicate_roots(docs: DataFrame, own: DataFrame, leaf_rows: DataFrame, words: int, share: float, recall: float, width: int, small: int, stars: int, depth: int) -> list[DataFrame]:
+    """Rows (node, root) that lead from leaves to the least leaf that confirmed links connect them to, with the stated recall.
+
+    The second table, if there is one, goes on from roots of the first.
+    """
     least = ceil(width * (share - 4.5 * sqrt(share * (1 - share) / width)))
     nodes = shared_nodes(cut_lineage(first_step(leaf_rows, share, trees_for(share, recall, depth))))
     few, many = nodes.where(F.col("size") <= small), nodes.where(F.col("size") > small)
@@ -316,7 +319,12 @@ def near_duplicate_links(docs: DataFrame, own: DataFrame, leaf_rows: DataFrame,
         rest = rest.unionByName(still_apart(few, leaf_rows, least, roots))
         crowded = not many.isEmpty()
     rest = cut_lineage(rest)
-    return first if rest.isEmpty() else first.unionByName(links_in_nodes(docs, own, rest, words, share))
+    if rest.isEmpty():
+        return [roots]
+    side = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"r_{x}"))
+    more = links_in_nodes(docs, own, rest, words, share).join(side("u"), "u", "left").join(side("v"), "v", "left")
+    more = cut_lineage(more.select(F.coalesce("r_u", "u").alias("u"), F.coalesce("r_v", "v").alias("v")).where("u <> v").distinct())
+    return [roots] if more.isEmpty() else [roots, components(more)]
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, share: float = 0.85, recall: float = 0.999, width: int = 128, small: int = 500, stars: int = 4, depth: int = 4) -> DataFrame:
@@ -328,9 +336,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: float = 0.85, recall
     signed = stage_table(with_signature(texts, words, width), "signatures")
     own = signed.select("doc_id", "uid", "leaf", "n")
     leaf_rows = stage_table(signed.where("leaf IS NOT NULL").select("leaf", "signature").dropDuplicates(["leaf"]), "leaves")
-    links = near_duplicate_links(texts, own.where("leaf IS NOT NULL"), leaf_rows, words, share, recall, width, small, stars, depth)
+    steps = near_duplicate_roots(texts, own.where("leaf IS NOT NULL"), leaf_rows, words, share, recall, width, small, stars, depth)
     least = own.where("leaf IS NOT NULL").groupBy("leaf").agg(F.min("doc_id").alias("least"))
-    named = cut_lineage(_rooted(least, components(links)))
+    named = least.withColumn("root", F.col("leaf"))
+    for roots in steps:
+        named = named.join(roots.toDF("root", "next"), "root", "left").select("leaf", "least", F.coalesce("next", "root").alias("root"))
+    named = cut_lineage(named)
     best = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_leaf = named.join(best, "root").select("leaf", "component_id")
     out = own.join(by_leaf, "leaf", "left").withColumn("component_id", F.when(F.col("leaf").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
