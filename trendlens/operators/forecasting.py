@@ -7,13 +7,13 @@ driver holds is the size of a model: scaler parameters, coefficients and trees.
 from __future__ import annotations
 
 import json
+import math
 import random
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from trendlens.functions.labels import risk_level
 from trendlens.operators import daily, features, metrics, windows
-from trendlens.relational import group_percentiles
+from trendlens.operators.neighbours import nearest_in_groups
+from trendlens.relational import group_percentiles, scan_ordered
 from trendlens.session import cut_lineage
+from trendlens.sources.keyed import KeyedTable
 
 VERSION = "1"
 SEED = 42
@@ -82,38 +84,31 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
 def smote(df: DataFrame, cols: Sequence[str], label: str = "label", by: Sequence[str] = (), k: int = 5, seed: int = SEED) -> DataFrame:
     """Balance each series by interpolating between minority days and their nearest minority days.
 
-    Neighbours are searched inside a series, so a task holds the minority days of one series, which
-    the calendar bounds. A series with fewer than two minority rows stays as it is.
+    Neighbours are those of the same series, found by a blocked nearest-neighbour join. Every draw is a hash of the seed, the
+    day and the number of the copy, so a task that is run again makes the same rows. A series with fewer than two minority
+    rows stays as it is. One row per series and day is expected.
     """
-    key = list(by) or [F.lit(0).alias("__all")]
-    names = [c if isinstance(c, str) else "__all" for c in key]
     base = df.select(*by, "date", label, *[F.col(c).cast("double").alias(c) for c in cols])
-    counts = base.groupBy(*key).agg(F.count_if(F.col(label) == 1).alias("ones"), F.count_if(F.col(label) == 0).alias("zeros"))
-    counts = counts.select(*[F.col(n).alias(f"__k{i}") for i, n in enumerate(names)], F.when(F.col("ones") <= F.col("zeros"), 1).otherwise(0).alias("__minority"),
+    counts = base.groupBy(*by).agg(F.count_if(F.col(label) == 1).alias("ones"), F.count_if(F.col(label) == 0).alias("zeros"))
+    counts = counts.select(*[F.col(n).alias(f"__k{i}") for i, n in enumerate(by)], F.when(F.col("ones") <= F.col("zeros"), 1).otherwise(0).alias("__minority"),
                            F.least("ones", "zeros").alias("__m"), F.abs(F.col("ones") - F.col("zeros")).alias("__need"))
     same = F.lit(True)
     for i, n in enumerate(by):
         same = same & F.col(n).eqNullSafe(F.col(f"__k{i}"))
     few = base.join(counts if by else F.broadcast(counts), same)  # one row when there is one series
-    few = few.where((F.col(label) == F.col("__minority")) & (F.col("__m") >= 2) & (F.col("__need") > 0)).drop(*[f"__k{i}" for i in range(len(names))], "__minority", "__m")
-    features_ = list(cols)
-
-    def interpolate(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date").reset_index(drop=True)
-        x = pdf[features_].to_numpy(dtype=np.float64)
-        m, need = len(pdf), int(pdf["__need"].iloc[0])
-        squares = (x * x).sum(axis=1)
-        gaps = squares[:, None] + squares[None, :] - 2 * (x @ x.T)
-        np.fill_diagonal(gaps, np.inf)
-        near = np.argsort(gaps, axis=1, kind="stable")[:, : min(k, m - 1)]
-        rng = np.random.default_rng([seed, m, need])  # the same draw when a task is run again
-        start = np.arange(need) % m
-        other = near[start, rng.integers(0, near.shape[1], need)]
-        out = pdf.iloc[start].drop(columns="__need").reset_index(drop=True)
-        out[features_] = x[start] + rng.random(need)[:, None] * (x[other] - x[start])
-        return out
-
-    made = few.groupBy(*by).applyInPandas(interpolate, base.schema)
+    few = few.where((F.col(label) == F.col("__minority")) & (F.col("__m") >= 2) & (F.col("__need") > 0)).drop(*[f"__k{i}" for i in range(len(by))], "__minority")
+    few = cut_lineage(few.select("*", F.xxhash64("date", *by).alias("__id"), F.array(*[F.coalesce(F.col(c), F.lit(0.0)) for c in cols]).alias("__v"), F.lit(1).alias("__one")))
+    near = nearest_in_groups(few.select(F.col("__id").alias("id"), F.col("__v").alias("v"), *by), k, by)
+    others = few.select(F.col("__id").alias("other"), F.col("__v").alias("__w"))
+    near = near.join(others, "other").select(F.col("id").alias("__n"), "rank", "__w")
+    # copies go round the minority days of a series in order of time
+    placed = scan_ordered(few, by, ["date"], ["__one"]).withColumn("__copies", F.ceil((F.col("__need") - F.col("__one_before")) / F.col("__m")).cast("int"))
+    copies = placed.where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    drawn = lambda salt: F.xxhash64(F.lit(seed), F.lit(salt), "__id", "__copy")
+    copies = copies.withColumn("__rank", F.pmod(drawn(1), F.least(F.lit(k), F.col("__m") - 1)).cast("int") + 1)
+    copies = copies.withColumn("__share", F.pmod(drawn(2), F.lit(1 << 30)) / F.lit(float(1 << 30)))
+    both = copies.join(near, (F.col("__id") == F.col("__n")) & (F.col("__rank") == F.col("rank")))
+    made = both.select(*by, "date", label, *[(F.get("__v", i) + F.col("__share") * (F.get("__w", i) - F.get("__v", i))).alias(c) for i, c in enumerate(cols)])
     return base.unionByName(made)
 
 
@@ -124,6 +119,15 @@ def _importance(spark: SparkSession, names: Sequence[str], values: Sequence[floa
     return spark.createDataFrame(pairs, "feature string, importance double")
 
 
+ROWS_PER_TASK = 50_000
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """``rows`` cached in as few partitions as their number asks for: a tree fit runs several jobs a level over them."""
+    rows = cut_lineage(rows)
+    return rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK))).persist()
+
+
 @dataclass
 class Forecaster:
     """Linear (elastic net) and boosted regressors of one target, ``horizon`` rows ahead."""
@@ -146,7 +150,7 @@ class Forecaster:
         """Fit on rows with the feature columns and ``label``."""
         self.scaler = dict(fit_scaler(train, names, self.scaler_kind).items())
         self.scaler = {c: self.scaler[c] for c in names}
-        rows = _vectorised(train, self.scaler, ["label"]).persist()
+        rows = _packed(_vectorised(train, self.scaler, ["label"]))
         makers = {
             "linear": LinearRegression(regParam=self.alpha, elasticNetParam=self.l1, maxIter=10_000, standardization=False, labelCol="label"),
             "boosted": GBTRegressor(maxIter=self.rounds, maxDepth=self.depth, stepSize=self.step, subsamplingRate=self.subsample, seed=self.seed, labelCol="label"),
@@ -252,7 +256,8 @@ class SpikeDetector:
             rows = smote(rows, names, by=by, seed=self.seed)
         weight = self.weight or (counts["zeros"] / counts["ones"] if counts["ones"] and counts["zeros"] else 1.0)
         rows = VectorAssembler(inputCols=list(names), outputCol="features").transform(rows)
-        rows = rows.select("features", F.col("label").cast("double").alias("label"), F.when(F.col("label") == 1, weight).otherwise(1.0).alias("weight")).persist()
+        rows = rows.select("features", F.col("label").cast("double").alias("label"), F.when(F.col("label") == 1, weight).otherwise(1.0).alias("weight"))
+        rows = _packed(rows)
         self.model = GBTClassifier(maxIter=self.rounds, maxDepth=self.depth, stepSize=self.step, subsamplingRate=self.subsample, seed=self.seed, weightCol="weight").fit(rows)
         rows.unpersist()
         return self
@@ -312,7 +317,7 @@ class ClassModel:
         train, test = rows.where("is_train"), rows.where("NOT is_train")
         found = fit_scaler(train, names)
         self.scaler = {c: found[c] for c in names}
-        ready = _vectorised(train, self.scaler, ["label", "weight"]).persist()
+        ready = _packed(_vectorised(train, self.scaler, ["label", "weight"]))
         self.model = RandomForestClassifier(numTrees=self.trees, maxDepth=self.depth, seed=self.seed, weightCol="weight", labelCol="label").fit(ready)
         ready.unpersist()
         told = self.model.transform(_vectorised(test, self.scaler, ["label"])).select(F.col("label").alias("y"), "prediction")
@@ -448,29 +453,121 @@ def draw(space: dict[str, tuple], trial: int, seed: int = SEED) -> dict:
     return out
 
 
+def _to_unit(space: dict[str, tuple], params: dict) -> np.ndarray:
+    """A trial as a point of the unit cube, logarithmic ranges by their logarithm."""
+    return np.array([(math.log(params[n] / lo) / math.log(hi / lo)) if how == "log" else (params[n] - lo) / (hi - lo) for n, (lo, hi, how) in space.items()])
+
+
+def _from_unit(space: dict[str, tuple], point: np.ndarray) -> dict:
+    out = {}
+    for x, (name, (lo, hi, how)) in zip(np.clip(point, 0.0, 1.0), space.items(), strict=True):
+        out[name] = int(round(lo + x * (hi - lo))) if how == "int" else (lo * (hi / lo) ** float(x) if how == "log" else lo + float(x) * (hi - lo))
+    return out
+
+
+def suggest(space: dict[str, tuple], history: Sequence[tuple[dict, float]], trial: int, seed: int = SEED, startup: int = 10, tries: int = 24) -> dict:
+    """The next trial of a search that learns from ``history`` (parameters, score; higher is better).
+
+    The first ``startup`` trials are drawn from the whole space. After that the best quarter and the others are two
+    densities, sums of bumps around their points and a flat share; of ``tries`` draws around the best quarter the one with the
+    greatest ratio of both densities, summed over parameters, is taken.
+    """
+    if trial < startup or len(history) < 4:
+        return draw(space, trial, seed)
+    ranked = sorted(history, key=lambda h: -h[1])
+    points = np.array([_to_unit(space, p) for p, _ in ranked])
+    n = max(2, len(points) // 4)
+    good, bad = points[:n], points[n:]
+    rng = np.random.default_rng([seed, trial])
+    width = max(0.05, len(good) ** -0.5 / 2)
+    drawn = good[rng.integers(0, len(good), tries)] + rng.normal(0, width, (tries, points.shape[1]))
+    drawn = np.abs(drawn)
+    drawn = np.clip(np.where(drawn > 1, 2 - drawn, drawn), 0.0, 1.0)  # mirrored at the borders
+
+    def density(at: np.ndarray, around: np.ndarray) -> np.ndarray:
+        bumps = np.exp(-0.5 * ((at[:, None] - around[None]) / width) ** 2) / (width * math.sqrt(2 * math.pi))
+        return np.log(0.1 + 0.9 * bumps.mean(axis=1)).sum(axis=1)
+
+    return _from_unit(space, drawn[int(np.argmax(density(drawn, good) - density(drawn, bad)))])
+
+
+def search(score: Callable[[dict, int], float], space: dict[str, tuple], trials: int = 50, k: int = 5, seed: int = SEED, parallel: int = 4) -> list[dict]:
+    """All trials of a search: dicts with ``params``, ``score`` (mean over its folds), ``folds`` (how many it ran) and ``stopped``.
+
+    ``score(params, fold)`` is higher for better. Trials run ``parallel`` at a time, fold by fold. A trial stops after a fold
+    if its mean so far is below the median of the finished trials' means over as many folds. The outcome depends on
+    the seed alone, not on which job ends first.
+    """
+    done: list[dict] = []
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        while len(done) < trials:
+            history = [(t["params"], t["score"]) for t in done]
+            batch = [{"params": suggest(space, history, len(done) + i, seed), "scores": [], "stopped": False} for i in range(min(parallel, trials - len(done)))]
+            for fold in range(k):
+                live = [t for t in batch if not t["stopped"]]
+                for t, value in zip(live, pool.map(lambda t: score(t["params"], fold), live), strict=True):
+                    t["scores"].append(value)
+                finished = [float(np.mean(t["scores"][: fold + 1])) for t in done if not t["stopped"]]
+                if len(finished) >= 4 and fold < k - 1:
+                    bar = float(np.median(finished))
+                    for t in live:
+                        t["stopped"] = float(np.mean(t["scores"])) < bar
+            for t in batch:
+                t["score"], t["folds"] = float(np.mean(t["scores"])), len(t["scores"])
+            done += batch
+    return done
+
+
 def tune(df: DataFrame, names: Sequence[str], kind: str = "linear", trials: int = 50, k: int = 5, by: Sequence[str] = (),
-         seed: int = SEED, parallel: int = 4, limits: dict | None = None) -> tuple[dict, list[tuple[dict, float]]]:
-    """Seeded random search scored by walk-forward validation: (best parameters, all trials).
+         seed: int = SEED, parallel: int = 4, limits: dict | None = None) -> tuple[dict, list[dict]]:
+    """Search of a model's space scored by walk-forward validation: (best parameters, all trials as ``search`` returns them).
 
-    The objective is minus the squared error, or F1 for spikes. Trials run as concurrent Spark jobs.
+    The objective is minus the squared error, or F1 for spikes. Only trials that ran all folds can be the best.
     """
     space = {**SPACES[kind], **(limits or {})}
+    folds = cut_lineage(features.walk_forward_folds(df, k, by))  # once for all trials
+    parts = [(folds.where((F.col("fold") == i) & (F.col("role") == "train")), folds.where((F.col("fold") == i) & (F.col("role") == "test"))) for i in range(k)]
 
-    def score(params: dict) -> float:
-        def fit(train: DataFrame) -> Callable[[DataFrame], float]:
-            if kind == "spike":
-                detector = SpikeDetector(**params, seed=seed).fit(train, names, by)
-                return lambda test: metrics.binary_metrics(detector.predict(test.withColumn("y", F.col("label")), ["y"])).first()["f1"]
-            caster = Forecaster(**params, seed=seed).fit(train, names, [kind])
-            return lambda test: -(metrics.regression_metrics(caster.predict(test.withColumn("y", F.col("label")), kind, ["y"])).first()["rmse"] ** 2)
+    def score(params: dict, fold: int) -> float:
+        train, test = parts[fold]
+        test = test.withColumn("y", F.col("label"))
+        if kind == "spike":
+            return metrics.binary_metrics(SpikeDetector(**params, seed=seed).fit(train, names, by).predict(test, ["y"])).first()["f1"] or 0.0
+        caster = Forecaster(**params, seed=seed).fit(train, names, [kind])
+        return -(metrics.regression_metrics(caster.predict(test, kind, ["y"])).first()["rmse"] ** 2)
 
-        return cross_validate(fit, folds, k, by)["mean_score"]
+    tried = search(score, space, trials, k, seed, parallel)
+    return max((t for t in tried if not t["stopped"]), key=lambda t: t["score"])["params"], tried
 
-    folds = cut_lineage(features.walk_forward_folds(df, k, by))  # once for all trials
-    tried = [draw(space, t, seed) for t in range(trials)]
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        results = list(zip(tried, pool.map(score, tried)))
-    return max(results, key=lambda r: r[1])[0], results
+
+def out_of_fold(df: DataFrame, names: Sequence[str], make: Callable[[], Forecaster], kind: str = "linear", k: int = 5, by: Sequence[str] = ()) -> DataFrame:
+    """(by, date, fold, prediction, actual): every day of a walk-forward test block, predicted by a model of all earlier days."""
+    folds = cut_lineage(features.walk_forward_folds(df, k, by))
+    out = None
+    for i in range(k):
+        one = folds.where(F.col("fold") == i)
+        model = make().fit(one.where("role = 'train'"), names, [kind])
+        made = model.predict(one.where("role = 'test'").withColumn("actual", F.col("label")), kind, [*by, "date", "actual"])
+        made = made.select(*by, "date", F.lit(i).alias("fold"), "prediction", "actual")
+        out = made if out is None else out.unionByName(made)
+    return cut_lineage(out)
+
+
+def store_predictions(spark: SparkSession, path: str, made: DataFrame, days: DataFrame, model: str, horizon: int = 7, by: Sequence[str] = ()) -> None:
+    """Upsert predictions (by, date, prediction) under the day they are for: ``horizon`` rows of ``days`` (by, date) later.
+
+    The store is keyed by model, series and day, in folders by day; a later run replaces its days.
+    """
+    ahead = days.select(*by, "date", F.lead("date", horizon).over(windows.series_window(by)).alias("target_date"))
+    rows = made.select(*by, "date", "prediction").join(ahead, [*by, "date"]).where(F.col("target_date").isNotNull())
+    rows = rows.select(*by, F.lit(model).alias("model"), F.col("date").alias("made_on"), F.col("target_date").alias("date"), "prediction")
+    KeyedTable(spark, path, ("model", *by, "date"), "date").upsert(rows, order="made_on")
+
+
+def stored_predictions(spark: SparkSession, path: str, model: str, by: Sequence[str] = ()) -> DataFrame | None:
+    """(by, date, prediction, made_on) of one model."""
+    rows = KeyedTable(spark, path, ("model", *by, "date"), "date").read()
+    return None if rows is None else rows.where(F.col("model") == model).select(*by, "date", "prediction", "made_on")
 
 
 @dataclass

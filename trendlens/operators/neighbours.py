@@ -184,3 +184,25 @@ def nearest_neighbours(df: DataFrame, k: int, id_col: str = "vec_id", vec: str =
     """(id, other, distance, rank): the k nearest other rows of every row."""
     cells = into_cells(df, id_col, vec, pivots)
     return nearest(cells.rows, cells, k)
+
+
+def nearest_in_groups(rows: DataFrame, k: int, by: Sequence[str] = (), block: int = 1024) -> DataFrame:
+    """(id, other, distance, rank): the k nearest rows of the same group of every row (id, v, by); ids must be unique.
+
+    Groups are cut into blocks; a task compares two blocks and hands on k rows a query, so no task holds a group.
+    """
+    group = F.xxhash64(*by) if by else F.lit(0).cast("long")
+    rows = stage_table(rows.select(group.alias("g"), "id", "v"), "grouped-vectors")
+    sizes = rows.groupBy("g").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))
+    dealt = rows.join(sizes, "g").withColumn("own", F.pmod(F.xxhash64("id"), F.col("n")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    left = dealt.select("g", F.col("own").alias("i"), F.col("other").alias("j"), "id", "v")
+    right = dealt.select("g", F.col("other").alias("i"), F.col("own").alias("j"), "id", "v").toDF("y_g", "y_i", "y_j", "y_id", "y_v")
+
+    def pick(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if not len(x) or not len(y):
+            return pd.DataFrame({"id": [], "other": [], "distance": []}).astype({"id": "int64", "other": "int64", "distance": "float64"})
+        i, j, d = nearest_rows(vectors(x["v"]), vectors(y["y_v"]), x["id"].to_numpy(), y["y_id"].to_numpy(), k)
+        return pd.DataFrame({"id": x["id"].to_numpy()[i], "other": y["y_id"].to_numpy()[j], "distance": d})
+
+    met = left.groupBy("g", "i", "j").cogroup(right.groupBy("y_g", "y_i", "y_j")).applyInPandas(pick, "id long, other long, distance double")
+    return best_of(met, k)

@@ -124,7 +124,19 @@ def scored(df: DataFrame) -> DataFrame:
     return out.select(*[F.round(c, 1).alias(c) for c in out.columns], rating(F.col("overall_score")).alias("rating"))
 
 
-def full_report(df: DataFrame) -> DataFrame:
-    """One row of nested structs, one per section."""
-    packed = [part.select(F.struct("*").alias(name)) for name, part in {**sections(df), "overall_quality": scored(df)}.items()]
+def full_report(df: DataFrame, terms: DataFrame | None = None, top: int = 20) -> DataFrame:
+    """One row of nested structs, one per section.
+
+    With ``terms`` (topic, term) there is the coherence of topics, with a ``topic_label`` column in ``df`` the labels, sizes and
+    shares of the ``top`` largest topics.
+    """
+    parts = {**sections(df), "overall_quality": scored(df)}
+    if terms is not None:
+        parts["coherence"] = coherence_proxy(terms)
+    packed = [part.select(F.struct("*").alias(name)) for name, part in parts.items()]
+    if "topic_label" in df.columns:
+        largest = first_labels(df).orderBy(F.col("count").desc(), "topic").limit(top)
+        order = F.struct((-F.col("count")).alias("minus"), "topic", "topic_label", "count", "pct")
+        labels = largest.agg(F.sort_array(F.collect_list(order)).alias("x"))  # at most ``top`` entries
+        packed.append(labels.select(F.transform("x", lambda t: F.struct(t["topic"].alias("topic"), t["topic_label"].alias("topic_label"), t["count"].alias("count"), t["pct"].alias("pct"))).alias("topic_labels")))
     return reduce(lambda a, b: a.join(F.broadcast(b), F.lit(True)), packed)  # one row each

@@ -143,7 +143,7 @@ def run_batch(spark: SparkSession, raw: DataFrame, out: str, k_topics: int | Non
         return "ok"
 
     def report() -> str:
-        write_report(scorecard.full_report(final), f"{out}/report", f"{out}/report_text")
+        write_report(scorecard.full_report(final, topics.topic_terms(final)), f"{out}/report", f"{out}/report_text")
         return "ok"
 
     if train:

@@ -228,3 +228,13 @@ def spr10(spark, sf):
     for p in parts[1:]:
         out = out.join(F.broadcast(p), F.lit(True))  # one row each
     return out
+
+
+@query("spr10_analyze_parts", "total_articles:i duplicate_count:i copiers:i originators:i chains:i clusters:i", f"""
+WITH {PRIOR_SQL}, {chains_sql('prior', 20)}, h2 AS (SELECT CASE WHEN depth % 2 = 0 THEN article_id ELSE duplicate_of END AS head FROM prior)
+RESULT SELECT (SELECT count(*) FROM prior) AS total_articles, (SELECT count(*) FROM prior WHERE similarity_category = 'duplicate') AS duplicate_count,
+  (SELECT least(10, count(DISTINCT source)) FROM prior WHERE NOT is_original) AS copiers, (SELECT least(10, count(DISTINCT original_source)) FROM prior WHERE is_original) AS originators,
+  (SELECT count(*) FROM hd JOIN cs ON k = article_id) AS chains, (SELECT count(*) FROM (SELECT head FROM h2 GROUP BY head HAVING count(*) >= 2)) AS clusters""")
+def spr10_parts(spark, sf):
+    out = spr10(spark, sf)
+    return out.select(F.get_json_object("totals", "$.total_articles").alias("total_articles"), F.get_json_object("totals", "$.duplicate_count").alias("duplicate_count"), "copiers", "originators", "chains", "clusters")

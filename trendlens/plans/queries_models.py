@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from trendlens.functions.labels import risk_level
 from trendlens.functions.text import PAYWALL_MARKER, WHITESPACE
-from trendlens.operators import daily, features, forecasting, serving, windows
+from trendlens.operators import daily, features, forecasting, neighbours, serving, windows
 from trendlens.operators.sentiment import score_with_lexicon
 from trendlens.plans import batch_job
 from trendlens.plans.queries_copies import pairs_sql
-from trendlens.plans.queries_series import CLASS_SQL, SPIKE_CTE, events_daily, orders_daily
+from trendlens.plans.queries_series import _NOT_NULL, ALL_CTE, CLASS_SQL, SPIKE_CTE, WS, events_daily, orders_daily
 from trendlens.plans.queries_reports import lexicon_sql
 from trendlens.plans.queries_text import CLEAN_SQL, feed
 from trendlens.plans.registry import query, stage
@@ -66,8 +66,22 @@ SELECT source, date, total_articles, coalesce(lag(avg_sentiment, 14) OVER (PARTI
 t AS (SELECT CASE WHEN o <= z AND o >= 2 THEN z ELSE o END AS ones, CASE WHEN z < o AND z >= 2 THEN o ELSE z END AS zeros FROM c)
 RESULT SELECT 1 AS label, sum(ones) AS rows FROM t UNION ALL SELECT 0, sum(zeros) FROM t""")
 def ml9(spark, sf):
-    rows = spiked(spark, sf).select("source", "date", F.col("spike_label").alias("label"), "total_articles", "avg_sentiment")
-    return forecasting.smote(rows, ["total_articles", "avg_sentiment"], by=BY).groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+    return forecasting.smote(smote_days(spark, sf), ["total_articles", "avg_sentiment"], by=BY).groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def smote_days(spark, sf):
+    return spiked(spark, sf).select("source", "date", F.col("spike_label").alias("label"), "total_articles", "avg_sentiment")
+
+
+@query("ml9_smote_neighbours", "source:s day:s rank:i distance:d", f"""
+{SPIKE_CTE}, m AS (SELECT source, date, total_articles::DOUBLE AS x, avg_sentiment::DOUBLE AS y FROM spk WHERE spike_label = 1),
+d AS (SELECT a.source, a.date AS day, round(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)), 9) AS distance FROM m a JOIN m b ON a.source = b.source AND a.date <> b.date)
+RESULT SELECT * FROM (SELECT source, day, row_number() OVER (PARTITION BY source, day ORDER BY distance) AS rank, distance FROM d) WHERE rank <= 5""")
+def ml9_neighbours(spark, sf):
+    """The neighbours that synthetic days are drawn between: the five nearest spike days of a series."""
+    rows = smote_days(spark, sf).where("label = 1").select("source", "date", F.xxhash64("date", "source").alias("id"), F.array(F.col("total_articles").cast("double"), F.col("avg_sentiment").cast("double")).alias("v"))
+    near = neighbours.nearest_in_groups(rows, 5, BY)
+    return near.join(rows, "id").select("source", F.col("date").alias("day"), "rank", "distance")
 
 
 # --- models -----------------------------------------------------------------------------------
@@ -80,9 +94,114 @@ def names_of(rows):
     return [c for c in rows.columns if c not in ("source", "date", "label", "is_train")]
 
 
-def fitted(spark, sf, kinds):
-    rows = matrix(spark, sf)
-    return forecasting.sentiment_forecaster().fit(rows.where("is_train"), names_of(rows), kinds), rows
+def fitted(spark, sf, kinds, target="avg_sentiment"):
+    """(model, matrix) of one session: queries that look at the same model share its fit."""
+    rows = matrix(spark, sf) if target == "avg_sentiment" else stage(f"matrix-{target}", spark, sf, lambda s, f: features.trainer_matrix(frame(s, f), target, by=BY))
+    key = (spark.sparkContext.applicationId, sf, target, tuple(kinds))
+    if key not in _TRAINED:
+        make = forecasting.sentiment_forecaster if target == "avg_sentiment" else forecasting.volume_forecaster
+        _TRAINED[key] = make().fit(rows.where("is_train"), names_of(rows), kinds)
+    return _TRAINED[key], rows
+
+
+_TRAINED: dict = {}
+
+TEST_DAYS_SQL = f"""{ALL_CTE}, led AS (SELECT *, lead(avg_sentiment, 7) {WS} AS label FROM fea),
+ok AS (SELECT * FROM led WHERE label IS NOT NULL AND {_NOT_NULL}),
+td AS (SELECT source, date FROM (SELECT source, date, row_number() {WS} > floor(count(*) OVER (PARTITION BY source) * 0.8::DOUBLE) AS is_test FROM ok) WHERE is_test)"""
+
+
+def sane(prediction, low=None, high=None):
+    """A number, and inside the bounds where there are some."""
+    ok = prediction.isNotNull() & ~F.isnan(prediction)
+    return ok if low is None else ok & prediction.between(low, high)
+
+
+@query("ml5_predicted_days", "source:s date:s linear_in_range:b boosted_in_range:b", f"""
+{TEST_DAYS_SQL}
+RESULT SELECT source, date, true AS linear_in_range, true AS boosted_in_range FROM td""")
+def ml5_days(spark, sf):
+    """ML-3, ML-4 and ML-5 on every held-out day: a mean class is between -1 and 1, a forecast of it at most a little outside."""
+    model, rows = fitted(spark, sf, ["linear", "boosted"])
+    out = model.predict_both(rows.where("NOT is_train"), ["source", "date"])
+    return out.select("source", "date", sane(F.col("linear_prediction"), -1.5, 1.5).alias("linear_in_range"), sane(F.col("boosted_prediction"), -1.5, 1.5).alias("boosted_in_range"))
+
+
+@query("ml7_volume_days", "source:s date:s linear_in_range:b boosted_in_range:b", f"""
+{TEST_DAYS_SQL}
+RESULT SELECT source, date, true AS linear_in_range, true AS boosted_in_range FROM td""")
+def ml7_days(spark, sf):
+    """ML-7 with both kinds: forecasts of the number of articles stay near the numbers that were seen."""
+    model, rows = fitted(spark, sf, ["linear", "boosted"], "total_articles")
+    most = rows.where("is_train").agg((F.max("label") * 2).alias("most"))
+    out = model.predict_both(rows.where("NOT is_train"), ["source", "date"]).join(F.broadcast(most), F.lit(True))  # one row
+    ok = lambda c: sane(F.col(c)) & (F.abs(c) <= F.col("most"))
+    return out.select("source", "date", ok("linear_prediction").alias("linear_in_range"), ok("boosted_prediction").alias("boosted_in_range"))
+
+
+@query("ml3_no_worse_than_mean", "target:s model:s no_worse:b", """
+SELECT * FROM (VALUES ('avg_sentiment', 'linear', true), ('avg_sentiment', 'boosted', true), ('total_articles', 'linear', true), ('total_articles', 'boosted', true)) AS t(target, model, no_worse)""")
+def ml3_mean(spark, sf):
+    """Mean absolute errors on held-out days against the mean of the training days, with a tenth to spare for noise."""
+    out = None
+    for target in ("avg_sentiment", "total_articles"):
+        model, rows = fitted(spark, sf, ["linear", "boosted"], target)
+        mean = rows.where("is_train").agg(F.avg("label").alias("mean"))
+        both = model.predict_both(rows.where("NOT is_train"), ["label"]).join(F.broadcast(mean), F.lit(True))  # one row
+        error = lambda c: F.avg(F.abs(F.col("label") - F.col(c)))
+        for kind in ("linear", "boosted"):
+            one = both.agg((error(f"{kind}_prediction") <= 1.1 * error("mean")).alias("no_worse")).select(F.lit(target).alias("target"), F.lit(kind).alias("model"), "no_worse")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("ml8_spike_days", "source:s date:s probable:b risk_fits:b", f"""
+{TEST_DAYS_SQL}
+RESULT SELECT source, date, true AS probable, true AS risk_fits FROM td""")
+def ml8_days(spark, sf):
+    rows = stage("spike_rows", spark, sf, spike_rows)
+    key = (spark.sparkContext.applicationId, sf, "spike")
+    if key not in _TRAINED:
+        _TRAINED[key] = forecasting.SpikeDetector().fit(rows.where("is_train"), names_of(rows), BY)
+    p = F.col("probability")
+    risk = F.when(p >= 0.8, "HIGH").when(p >= 0.5, "MEDIUM").when(p >= 0.3, "LOW").otherwise("MINIMAL")
+    return _TRAINED[key].predict(rows.where("NOT is_train"), ["source", "date"]).select("source", "date", sane(p, 0.0, 1.0).alias("probable"), ((F.col("risk_level") == risk) & (F.col("prediction") == (p >= 0.5).cast("int"))).alias("risk_fits"))
+
+
+@query("ml16_importance_checks", "features:i in_order:b shares:b", "SELECT 15 AS features, true AS in_order, true AS shares")
+def ml16_checks(spark, sf):
+    model, _ = fitted(spark, sf, ["linear", "boosted"])
+    whole = model.importance(spark, "boosted").agg(F.abs(F.sum("importance") - 1) < 1e-6)
+    top = model.importance(spark, "boosted", 15).agg(F.count("*").alias("features"), F.collect_list("importance").alias("v"))  # 15 values
+    return top.select("features", (F.col("v") == F.sort_array("v", False)).alias("in_order")).join(whole.toDF("shares"), F.lit(True))
+
+
+@query("ml17_forecast_days", "source:s date:s known_class:b sums_to_one:b", f"""
+WITH {CLASS_SQL}, l AS (SELECT source, max(date) AS last FROM dom GROUP BY source)
+RESULT SELECT source, last + CAST(i AS INTEGER) AS date, true AS known_class, true AS sums_to_one FROM l, range(1, 8) AS t(i)""")
+def ml17_days(spark, sf):
+    """ML-17 and ML-23: seven days for every series, a known class each, probabilities that sum to one."""
+    _, ahead = forecasting.train_class_model(orders_as_articles(spark, sf), BY)
+    total = F.aggregate(F.map_values("probabilities"), F.lit(0.0), lambda s, p: s + p)
+    return ahead.select("source", "date", F.col("predicted_sentiment").isin("negative", "neutral", "positive").alias("known_class"), ((F.abs(total - 1) < 1e-6) & F.col("confidence").between(1 / 3 - 1e-6, 1.0)).alias("sums_to_one"))
+
+
+@query("ml19_latest_checks", "source:s forecast_horizon:i numbers:b probable:b", "SELECT DISTINCT source, 7 AS forecast_horizon, true AS numbers, true AS probable FROM dailyos")
+def ml19_checks(spark, sf):
+    """ML-6, ML-18, ML-19, SRV-3 and SRV-4: one answer for every series from models that were trained, saved and read back."""
+    path = scratch_path(spark, "trained")
+    build_trained(spark, sf).save(spark, path)
+    trained = forecasting.Trained.load(spark, path)
+    week = forecasting.weekly_prediction(trained, frame(spark, sf), BY)
+    spike = forecasting.spike_probability(trained, frame(spark, sf), BY)
+    numbers = sane(F.col("sentiment.predicted_value"), -1.5, 1.5) & sane(F.col("volume.predicted_value")) & F.col("sentiment.confidence").between(0, 1) & F.col("volume.confidence").between(0, 1)
+    return week.join(spike, "source").select("source", F.col("sentiment.forecast_horizon").alias("forecast_horizon"), numbers.alias("numbers"), sane(F.col("probability"), 0.0, 1.0).alias("probable"))
+
+
+@query("ml14_fold_checks", "n_splits:i errors:b", "SELECT 5 AS n_splits, true AS errors")
+def ml14_checks(spark, sf):
+    out = ml14(spark, sf)
+    return out.select("n_splits", ((F.col("mean_score") > 0) & (F.col("mean_score") < 1) & (F.col("std_score") >= 0)).alias("errors"))
 
 
 _PRED = "source:s date:s prediction:d"
@@ -96,7 +215,7 @@ def ml3(spark, sf):
 
 @query("ml4_boosted_regressor", _PRED)
 def ml4(spark, sf):
-    model, rows = fitted(spark, sf, ["boosted"])
+    model, rows = fitted(spark, sf, ["linear", "boosted"])
     return model.predict(rows.where("NOT is_train"), "boosted", ["source", "date"])
 
 
@@ -165,16 +284,23 @@ def ml14(spark, sf):
     return rows.limit(1).select(*[F.lit(out[k]).alias(k) for k in ("mean_score", "std_score", "n_splits")])
 
 
-@query("ml15_tune", "trial:i alpha:d l1:d score:d")
+@query("ml15_tune", "trials:i in_space:b full_runs:b best_is_best:b", "SELECT 50 AS trials, true AS in_space, true AS full_runs, true AS best_is_best")
 def ml15(spark, sf):
+    """The linear space with the default 50 trials and 5 folds."""
     rows = matrix(spark, sf)
-    _, tried = forecasting.tune(rows, names_of(rows), "linear", trials=3, k=2, by=BY)
-    return spark.createDataFrame([(i, p["alpha"], p["l1"], s) for i, (p, s) in enumerate(tried)], "trial long, alpha double, l1 double, score double")
+    best, tried = forecasting.tune(rows, names_of(rows), "linear", by=BY)
+    data = [(i, t["params"]["alpha"], t["params"]["l1"], t["score"], t["folds"], t["stopped"], t["params"] == best) for i, t in enumerate(tried)]
+    trials = spark.createDataFrame(data, "trial long, alpha double, l1 double, score double, folds int, stopped boolean, best boolean")
+    whole = F.max(F.when(~F.col("stopped"), F.col("score")))
+    return trials.agg(
+        F.count("*").alias("trials"), F.bool_and(F.col("alpha").between(0.001, 1.0) & F.col("l1").between(0.0, 1.0)).alias("in_space"),
+        F.bool_and(F.when(F.col("stopped"), F.col("folds") < 5).otherwise(F.col("folds") == 5)).alias("full_runs"),
+        (F.max(F.when(F.col("best"), F.col("score"))) == whole).alias("best_is_best"))
 
 
 @query("ml16_feature_importance", "feature:s importance:d")
 def ml16(spark, sf):
-    model, _ = fitted(spark, sf, ["boosted"])
+    model, _ = fitted(spark, sf, ["linear", "boosted"])
     return model.importance(spark, "boosted", 15)
 
 
@@ -208,8 +334,6 @@ def build_trained(spark, sf):
     return _TRAINED[key]
 
 
-_TRAINED: dict = {}
-
 query("ml18_train_all", "model:s metrics:s")(lambda spark, sf: build_trained(spark, sf).history)
 query("ml19_predictions_all", "source:s sentiment:s volume:s spike:s")(
     lambda spark, sf: forecasting.predictions_all(build_trained(spark, sf), windows.latest_row(frame(spark, sf), BY), BY).select(
@@ -251,6 +375,23 @@ RESULT SELECT source, date, prediction, actual, actual - prediction AS error FRO
     lambda spark, sf: serving.prediction_vs_actual(
         orders_daily(spark, sf, BY).select("source", "date", F.lag("avg_sentiment", 7).over(windows.series_window(BY)).alias("prediction")),
         orders_daily(spark, sf, BY).select("source", "date", F.col("avg_sentiment").alias("actual")), 14, BY))
+@query("srv5_prediction_history", "source:s date:s actual:d out_of_fold:b consistent:b", """
+WITH q AS (SELECT source, date, avg_sentiment AS actual, row_number() OVER (PARTITION BY source ORDER BY date DESC) AS rn FROM dailyos)
+RESULT SELECT source, date, actual, true AS out_of_fold, true AS consistent FROM q WHERE rn <= 14""")
+def srv5_history(spark, sf):
+    """Stored out-of-fold predictions next to what happened on the days they were for."""
+    path = scratch_path(spark, "predictions")
+    rows = matrix(spark, sf)
+    days = frame(spark, sf).select("source", "date")
+    made = forecasting.out_of_fold(rows, names_of(rows), forecasting.sentiment_forecaster, by=BY)
+    forecasting.store_predictions(spark, path, made, days, "sentiment", by=BY)
+    actuals = orders_daily(spark, sf, BY).select("source", "date", F.col("avg_sentiment").alias("actual"))
+    stored = forecasting.stored_predictions(spark, path, "sentiment", BY)
+    both = serving.prediction_vs_actual(stored, actuals, 14, BY).join(stored.select("source", "date", "made_on"), BY + ["date"])
+    right = F.abs(F.col("error") - (F.col("actual") - F.col("prediction"))) < 1e-9
+    return both.select("source", "date", "actual", (F.col("made_on") < F.col("date")).alias("out_of_fold"), (right & ~F.isnan("prediction")).alias("consistent"))
+
+
 query("srv6_retrain", "model:s metrics:s")(lambda spark, sf: batch_job.retrain(spark, orders_as_articles(spark, sf), scratch_path(spark, "retrain"), by=("source",)).history)
 query("srv7_trend_summary", "source:s mean_sentiment:d tier:s sentiment_change:d articles:i daily_mean:d volume_change:d volume_change_pct:d spikes:i spike_rate:d", f"""
 {SPIKE_CTE}, rc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY date DESC) AS rn FROM spk) WHERE rn <= 30), {edges_sql('rc')},

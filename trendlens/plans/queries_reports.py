@@ -468,6 +468,15 @@ WITH s AS (SELECT date, (avg_sentiment + 1) * 50 AS score FROM dailyo)
 RESULT SELECT *, CASE WHEN score >= 90 THEN 'EXCELLENT' WHEN score >= 75 THEN 'GOOD' WHEN score >= 60 THEN 'ACCEPTABLE' ELSE 'NEEDS IMPROVEMENT' END AS rating FROM s""")(
     lambda spark, sf: orders_daily(spark, sf).select("date", ((F.col("avg_sentiment") + 1) * 50).alias("score")).withColumn("rating", scorecard.rating(F.col("score"))))
 query("evl9_full_report", "report:s")(lambda spark, sf: scorecard.full_report(docs(spark, sf)).select(F.to_json(F.struct("*")).alias("report")))
+query("evl9_report_values", "total_articles:i completeness_rate:d imbalance_ratio:d num_topics:i coherence_proxy:d largest_topic:i largest_label:s labels:i coverage:d date_range_days:i overall_score:d", f"""
+WITH {SCORE_SQL}, {TE_SQL}, {CTF_SQL}, co AS (SELECT round(least(coalesce(avg(n), 0) / 10 * 100, 100), 1) AS coherence_proxy FROM (SELECT count(term) AS n FROM tt WHERE topic <> -1 GROUP BY topic)),
+la AS (SELECT topic, arg_min(title, article_id) AS topic_label, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, topic) AS place FROM docs GROUP BY topic)
+RESULT SELECT total_articles, completeness_rate, imbalance_ratio, num_topics, coherence_proxy, topic AS largest_topic, topic_label AS largest_label, (SELECT count(*) FROM la WHERE place <= 20) AS labels,
+  coverage, date_range_days, round(overall, 1) AS overall_score FROM dq2, sb2, tq, su, te2, co, ov, la WHERE place = 1""")(
+    lambda spark, sf: scorecard.full_report(docs(spark, sf).withColumn("topic_label", F.col("title")), best_terms(spark, sf)).select(
+        "data_quality.total_articles", "data_quality.completeness_rate", "sentiment.imbalance_ratio", "topics.num_topics", "coherence.coherence_proxy",
+        F.col("topic_labels")[0]["topic"].alias("largest_topic"), F.col("topic_labels")[0]["topic_label"].alias("largest_label"), F.size("topic_labels").alias("labels"),
+        "summarization.coverage", "temporal.date_range_days", "overall_quality.overall_score"))
 query("ml22_sufficiency_gate", "date_range_days:i can_train:b warn:b", f"WITH {TE_SQL}\nRESULT SELECT date_range_days, date_range_days >= 14 AS can_train, date_range_days < 30 AS warn FROM te2")(
     lambda spark, sf: scorecard.sufficiency_gate(docs(spark, sf)))
 

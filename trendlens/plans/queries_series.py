@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from trendlens.functions import calendar
 from trendlens.operators import daily, features, windows
 from trendlens.plans.queries_copies import SPREAD_SQL, spread_table
 from trendlens.plans.registry import query
+from trendlens.relational import require_columns
 from trendlens.sources.adapters import articles_from_events, orders_as_articles
 
 BASE = "date:s total_articles:i avg_sentiment:d std_sentiment:d min_sentiment:d max_sentiment:d dominant_sentiment:s"
@@ -29,6 +32,18 @@ query("agg1_daily_base_by_source", "source:s " + BASE, "SELECT * FROM dailyes")(
 query("agg2_dominant_sentiment", "source:s date:s dominant_sentiment:s", "SELECT source, date, dominant_sentiment FROM dailyos")(
     lambda spark, sf: daily.dominant_sentiment(orders_as_articles(spark, sf), ["source"]))
 
+@query("agg4_required_columns", "date:s total_articles:i missing:s", "SELECT date, total_articles, 'nowhere, sentiment' AS missing FROM dailye")
+def agg4(spark, sf):
+    """The daily table of articles that have all columns, and what the check names for a table that lacks some."""
+    articles = articles_from_events(spark, sf)
+    require_columns(articles, ["publishedAt", "sentiment"])
+    try:
+        require_columns(articles.drop("sentiment"), ["nowhere", "publishedAt", "sentiment"])
+    except ValueError as error:
+        named = ", ".join(sorted(re.findall(r"'(\w+)'", str(error))))
+    return daily.daily_base(articles).select("date", "total_articles", F.lit(named).alias("missing"))
+
+
 TOPICS = (0, 1, 2, 3, 4)
 _TOPIC_SQL = ", ".join(f"count(*) FILTER (WHERE topic = {k}) AS topic_{k}_count" for k in TOPICS)
 _TOPIC_SPEC = " ".join(f"topic_{k}_count:i" for k in TOPICS)

@@ -20,23 +20,13 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> None:
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column], last: bool = False) -> DataFrame:
     """First (or last) row per key under ``order``.
 
-    An aggregate, not a window: every map task reduces its rows to one per key before the
-    shuffle, so a key that holds a large share of all rows never meets in one task as a whole.
-    The aggregate sees only ``order`` and keys; the winning rows are found by a join on both, so wide
-    columns are never sorted and move once. NULL keys form one group. ``order`` must be a total order
-    (end it with a row id) of narrow columns.
+    A limit of one row per group: every map task reduces its rows to one per key before the shuffle (Spark plans a group
+    limit on either side of it), so a key that holds a large share of all rows never meets in one task as a whole, and ``df``
+    is evaluated once. NULL keys form one group. ``order`` must be a total order (end it with a row id); NULL comes first.
     """
-    tags = [f"__o{i}" for i in range(len(order))]
-    tagged = df.select("*", *[c.alias(t) for c, t in zip(order, tags)])
-    pick = F.max if last else F.min
-    best = tagged.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(pick(F.struct(*tags)).alias("__best"))
-    best = best.select(*[f"__k{i}" for i in range(len(keys))], *[F.col(f"__best.{t}").alias(f"__b{i}") for i, t in enumerate(tags)])
-    cond = F.lit(True)
-    for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    for i, t in enumerate(tags):
-        cond = cond & F.col(t).eqNullSafe(F.col(f"__b{i}"))
-    return tagged.join(best, cond, "left_semi").drop(*tags)
+    by = [c.desc_nulls_last() if last else c.asc_nulls_first() for c in order]
+    ranked = df.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*by)))
+    return ranked.where(F.col("__rank") == 1).drop("__rank")
 
 
 def nulls_last(col: Column | str) -> list[Column]:

@@ -98,19 +98,19 @@ def first_available(spark: SparkSession, paths: Sequence[str], required: str | N
     raise FileNotFoundError(f"none of {list(paths)} is readable" + (f" with column {required}" if required else ""))
 
 
-def newest_change(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """One row: latest modification time among the files of a table."""
-    df = spark.read.text(path) if fmt != "parquet" else spark.read.parquet(path)
-    return df.select(F.col("_metadata.file_modification_time").alias("t")).agg(F.max("t").alias("modified"))
+def newest_change(spark: SparkSession, path: str) -> DataFrame:
+    """One row: latest modification time among the files under ``path``, from the listing alone; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)  # only the time is read, not the content
+    return files.select(F.col("modificationTime").alias("t")).agg(F.max("t").alias("modified"))
 
 
-def is_stale(spark: SparkSession, inputs: Sequence[str], output: str, max_age_hours: float = 24.0, fmt: str = "parquet") -> bool:
+def is_stale(spark: SparkSession, inputs: Sequence[str], output: str, max_age_hours: float = 24.0) -> bool:
     """True when ``output`` is missing, older than any input, or older than ``max_age_hours``."""
     try:
-        out = newest_change(spark, output, fmt)
+        out = newest_change(spark, output)
         newest_in = None
         for path in inputs:
-            one = newest_change(spark, path, fmt)
+            one = newest_change(spark, path)
             newest_in = one if newest_in is None else newest_in.unionByName(one)
     except AnalysisException:
         return True
