@@ -65,7 +65,9 @@ def test_failing_summary_model_is_retried_text_by_text(spark):
         return [texts[0][:5]]
 
     df = spark.createDataFrame([(1, "good " * 40), (2, "bad " * 40), (3, "fine " * 40)], "article_id long, text string").coalesce(1)
-    assert {r.article_id: r.summary for r in summary.summarise_with(df, fussy).collect()} == {1: "good ", 2: "", 3: "fine "}
+    got = summary.summarise_with(df, fussy).collect()
+    assert {r.article_id: r.summary for r in got} == {1: "good ", 2: "", 3: "fine "}
+    assert {r.article_id for r in got if r.summary_failed} == {2}
 
 
 def test_labels_skip_stop_words(spark):

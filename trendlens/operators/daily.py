@@ -57,9 +57,17 @@ def topic_pivot(df: DataFrame, topics: Sequence[int], by: Sequence[str] = (), da
     return with_date(df, date_col).groupBy(*by, "date").agg(*counts)
 
 
-def topic_ids(df: DataFrame) -> list[int]:
-    """Distinct topic ids: plan-time column names, so a short list by nature."""
-    return sorted(r[0] for r in df.select("topic").where(F.col("topic").isNotNull()).distinct().toLocalIterator())
+def topic_ids(df: DataFrame, most: int = 2_000) -> list[int]:
+    """Distinct topic ids, which become column names. More than ``most`` are an error: :func:`topic_counts` has them as rows."""
+    found = df.select("topic").where(F.col("topic").isNotNull()).distinct().limit(most + 1).collect()  # bounded
+    if len(found) > most:
+        raise ValueError(f"more than {most} topics for one column each; use topic_counts")
+    return sorted(r[0] for r in found)
+
+
+def topic_counts(df: DataFrame, by: Sequence[str] = (), date_col: str = "publishedAt") -> DataFrame:
+    """(by, date, topic, count): the pivot as rows, for any number of topics."""
+    return with_date(df, date_col).where(F.col("topic").isNotNull()).groupBy(*by, "date", "topic").agg(F.count(F.lit(1)).alias("count"))
 
 
 def add_topic_counts(daily: DataFrame, pivot: DataFrame, by: Sequence[str] = ()) -> DataFrame:

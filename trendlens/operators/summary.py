@@ -57,15 +57,18 @@ def summarise(df: DataFrame, max_words: int = 130, min_words: int = 30, max_char
 
 
 def summarise_with(df: DataFrame, model: Callable[[list[str]], list[str]], min_words: int = 30, max_chars: int | None = None) -> DataFrame:
-    """Add ``summary`` from a user model on Arrow batches; a failing batch is retried text by text."""
+    """Add ``summary`` from a user model on Arrow batches; a failing batch is retried text by text.
+
+    ``summary_failed`` tells texts that the model couldn't summarise, whose summary is empty, from texts too short for one.
+    """
     rows = summary_input(df.drop("summary"), min_words, max_chars)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
 
-    def one(text: str) -> str:
+    def one(text: str) -> str | None:
         try:
             return model([text])[0]
-        except Exception:  # noqa: BLE001  a text the model cannot handle has no summary
-            return ""
+        except Exception:  # noqa: BLE001  a text the model cannot handle has no summary, and says so
+            return None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -78,9 +81,10 @@ def summarise_with(df: DataFrame, model: Callable[[list[str]], list[str]], min_w
             out = [""] * len(texts)
             for i, s in zip(todo, made):
                 out[i] = s
-            yield pdf.assign(summary=out)
+            failed = [s is None for s in out]
+            yield pdf.assign(summary=[s or "" for s in out], summary_failed=failed)
 
-    return rows.mapInPandas(run, f"{fields}, summary string").drop("summary_input")
+    return rows.mapInPandas(run, f"{fields}, summary string, summary_failed boolean").drop("summary_input")
 
 
 def summary_quality(df: DataFrame) -> DataFrame:

@@ -67,6 +67,13 @@ def sen1_model(spark, sf):
     return sentiment.score_with_model(arts, model)
 
 
+@query("sen1_model_checks", "article_id:i known_class:b confident:b", "SELECT article_id, true AS known_class, true AS confident FROM docs")
+def sen1_model_checks(spark, sf):
+    """The model form gives every article one of the classes and the largest of three probabilities."""
+    out = sen1_model(spark, sf)
+    return out.select("article_id", F.col("sentiment").isin("negative", "neutral", "positive").alias("known_class"), F.col("sentiment_confidence").between(0.333, 1.0).alias("confident"))
+
+
 @query("sen1_score_callable", "article_id:i sentiment:s sentiment_confidence:d", """
 SELECT article_id, CASE WHEN length(coalesce(text, '')) > 600 THEN 'positive' ELSE 'neutral' END AS sentiment,
   round(1 - 1 / (1 + length(coalesce(text, '')))::DOUBLE, 4) AS sentiment_confidence FROM docs""")

@@ -56,6 +56,9 @@ def agg3(spark, sf):
     return daily.add_topic_counts(daily.daily_base(arts), daily.topic_pivot(arts, daily.topic_ids(arts)))
 
 
+query("agg3_topic_counts", "date:s topic:i count:i", "SELECT date, topic, count(*) AS count FROM ev WHERE topic IS NOT NULL GROUP BY date, topic")(
+    lambda spark, sf: daily.topic_counts(articles_from_events(spark, sf)))
+
 CLASS_SQL = """
 cls AS (SELECT source, date, count(sentiment) AS article_count,
   count(*) FILTER (WHERE sentiment='positive') AS positive_count, count(*) FILTER (WHERE sentiment='negative') AS negative_count,
