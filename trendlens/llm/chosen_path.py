@@ -70,7 +70,7 @@ def with_signature(docs: DataFrame, words: int, width: int) -> DataFrame:
     """(doc_id, uid, leaf, n, signature) of ``keyed`` documents; leaf and signature are null for the empty set."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(it):
+        for batch in pieces(it, 1 << 20):
             values, ends = shingle_sets(byte_texts(batch.column(2)), words)
             n = np.diff(ends, prepend=0)
             leaf = pa.array(leaves(values, ends), mask=n == 0)

@@ -95,7 +95,7 @@ def wanted_sets(docs: DataFrame, rows: DataFrame, words: int) -> DataFrame:
     packed = docs.sparkSession.sparkContext.broadcast(bit_table(rows, "uid"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(it):
+        for batch in pieces(it, 1 << 20):
             batch = batch.filter(pa.array(in_table(packed.value, batch.column(0).to_numpy())))
             values, ends = shingle_sets(byte_texts(batch.column(1)), words)
             raw = pa.py_buffer(values.astype("<u8").tobytes())
