@@ -304,21 +304,23 @@ def near_duplicate_roots(docs: DataFrame, own: DataFrame, leaf_rows: DataFrame,
     low, high = roots.toDF("u", "root_u"), roots.toDF("v", "root_v")
     judged = met.where("more").join(low, "u", "left").join(high, "v", "left")
     again = judged.where(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("node").distinct()
-    rest = still_apart(few.join(cut_lineage(again), "node", "left_semi"), leaf_rows, least, roots)
+    rest = cut_lineage(still_apart(few.join(cut_lineage(again), "node", "left_semi"), leaf_rows, least, roots))
     step = 1
     while crowded:
         open_ = stage_table(apart_in(many, roots), "open-nodes")
         if open_.isEmpty():
             break
         if step == depth:
-            rest = rest.unionByName(apart_by_blocks(open_, leaf_rows, least, roots, small))
+            rest = rest.unionByName(cut_lineage(apart_by_blocks(open_, leaf_rows, least, roots, small)))
             break
         step += 1
+        release(docs.sparkSession)  # what a step shuffled, signatures above all
         nodes = shared_nodes(cut_lineage(next_step(open_.select("node", "leaf"), leaf_rows, share)))
         few, many = nodes.where(F.col("size") <= small), nodes.where(F.col("size") > small)
-        rest = rest.unionByName(still_apart(few, leaf_rows, least, roots))
+        rest = rest.unionByName(cut_lineage(still_apart(few, leaf_rows, least, roots)))
         crowded = not many.isEmpty()
     rest = cut_lineage(rest)
+    release(docs.sparkSession)
     if rest.isEmpty():
         return [roots]
     side = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"r_{x}"))
