@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from trendlens.operators import density, neighbours
@@ -174,3 +175,23 @@ def test_follow(spark):
     assert all(got[i] == 100 for i in range(100)) and got[200] == got[201] == 200
     with pytest.raises(ValueError):
         follow(spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "node long, up long"), 8)
+
+
+def test_visits_hand_on_a_bounded_number_of_rows():
+    class Captured:
+        """Stands in for a DataFrame: keeps the batches that a task hands on."""
+
+        schema = type("Schema", (), {"fields": []})()
+
+        def select(self, *_):
+            return self
+
+        def mapInPandas(self, fn, _):
+            rows = pd.DataFrame({"id": np.arange(100), "v": [np.array([float(i), 0.0]) for i in range(100)]})
+            return list(fn(iter([rows])))
+
+    pivots = np.arange(256.0)[:, None] * [1.0, 0.0]
+    cells = neighbours.Cells(None, pivots, np.ones(256), np.ones(256, np.int64))
+    parts = neighbours.visits(Captured(), cells, lambda rows, apart: np.ones(apart.shape, bool))
+    assert max(map(len, parts)) <= neighbours.BLOCK and sum(map(len, parts)) == 100 * 256
+    assert not pd.concat(parts).duplicated(["id", "to"]).any()

@@ -125,7 +125,8 @@ def visits(queries: DataFrame, cells: Cells, reach, carry: Sequence[str] = ()) -
             if len(rows):
                 marked = reach(rows, to_pivots(vectors(rows["v"]), pivots)) & held
                 row, to = np.nonzero(marked)
-                yield rows.iloc[row].assign(to=to.astype(np.int32))
+                for at in range(0, max(1, len(row)), BLOCK):  # a query may visit every cell: its vector is copied for a bounded part at a time
+                    yield rows.iloc[row[at : at + BLOCK]].assign(to=to[at : at + BLOCK].astype(np.int32))
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in queries.select("id", "v", *carry).schema.fields)
     return queries.select("id", "v", *carry).mapInPandas(run, f"{kinds}, to int")
