@@ -1,9 +1,12 @@
 import json
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from trendlens import relational
 from trendlens.functions import text as tx
-from trendlens.operators import cleaning, html, ingest
+from trendlens.operators import cleaning, html, ingest, sentiment
+from trendlens.plans import queries_models
 from trendlens.sources import readers, writers
 
 
@@ -83,3 +86,29 @@ def test_main_text_rules():
     assert len(html.main_text(f"<article>{p(10)}</article><main>{p(55)}</main>").split()) == 55
     assert html.main_text("<p>a &amp; b<script>x()</script></p>") == "a & b"
     assert html.main_text(None) == ""
+
+
+def test_texts_are_python_objects_a_few_megabytes_at_a_time(spark):
+    rows = spark.range(0, 60, 1, 1).select(F.col("id").alias("article_id"), F.repeat(F.lit("word "), 80_000).alias("text"))
+
+    def by_batch(texts):
+        import pandas as pd
+
+        return pd.DataFrame({"label": ["positive"] * len(texts), "score": [texts.str.len().sum() / 1e9] * len(texts)})
+
+    got = sentiment.score_with_callable(rows, by_batch).agg(F.max("sentiment_confidence").alias("m"), F.count("*").alias("n"), F.min("sentiment").alias("s")).first()
+    assert (got.n, got.s) == (60, "positive") and got.m * 1e9 <= 5e6  # all 24 MB came as one batch
+    pages = rows.select(F.concat(F.lit("<article><p>"), "text", F.lit("</p></article>")).alias("html"))
+    assert html.extract_main_text(pages).select(F.length("main_text").alias("n")).distinct().collect()[0].n == 399_999
+    sizes = [b.num_rows for b in relational.pieces(iter([pa.RecordBatch.from_pydict({"x": ["y" * (3 << 20)] * 5})]))]
+    assert sizes == [1] * 5
+
+
+def test_latest_files_of_a_feed_are_one_per_task(spark, sf, tmp_path):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    pages.repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries_models.src3(spark, str(tmp_path))
+    assert got.first()["rows"] == pages.count()
+    assert len(got.inputFiles()) == 3  # one task wrote and read the whole feed
+    pages.limit(0).write.parquet(f"{tmp_path}/none/pages.parquet")
+    assert queries_models.src3(spark, f"{tmp_path}/none").first()["rows"] == 0
