@@ -112,3 +112,12 @@ def test_latest_files_of_a_feed_are_one_per_task(spark, sf, tmp_path):
     assert len(got.inputFiles()) == 3  # one task wrote and read the whole feed
     pages.limit(0).write.parquet(f"{tmp_path}/none/pages.parquet")
     assert queries_models.src3(spark, f"{tmp_path}/none").first()["rows"] == 0
+
+
+def test_white_space_is_collapsed_and_words_are_counted_in_every_form(spark):
+    marks = [" ", "  ", "\t", " \t", "\t ", "\x1c", "\x1f ", " \x85", "\xa0", "  ", "   ", "　", "\n\n"]
+    texts = [f"{a}x{b}y.{a}{b}z{b}" for a in marks for b in marks] + [None, "", " ", "\t", "​", "a​b"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.collapse_ws(F.col("t")).alias("flat"), tx.word_count(F.col("t")).alias("n")).collect()
+    plain = spark.createDataFrame([(t,) for t in texts], "t string").select(F.trim(F.regexp_replace("t", tx.WHITESPACE, " ")).alias("flat")).collect()
+    assert [r.flat for r in got] == [r.flat for r in plain]
+    assert [r.n for r in got] == [len([w for w in (p.flat or "").split(" ") if w]) for p in plain]
