@@ -43,3 +43,18 @@ def test_summaries_are_made_of_one_row_an_article(spark, monkeypatch):
             if used <= 20 or rank == 0:
                 kept.append(k)
         assert got[i] == " ".join(split[i][k] for k in sorted(kept))
+
+
+def test_weights_and_counts_of_single_units_leave_no_row_a_term_to_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from trendlens.operators import similarity, topics
+
+    texts = [(i, " ".join(f"{'ab'[k % 2]}{chr(97 + (i * k) % 23)}x" for k in range(i % 13))) for i in range(60)]
+    df = spark.createDataFrame(texts, "vid long, text string")
+    plan = similarity.tfidf(df)._jdf.queryExecution().toString()
+    assert "SortMergeJoin" not in plan and "Window" not in plan and "BroadcastHashJoin" not in plan
+    once, plain = ({(r.vid, r.term, r.n) for r in topics.vectorise_terms(df, "text", "vid", ["aax"], 2, 0.9, single=s).collect()} for s in (True, False))
+    assert once == plain and once
+    norms = similarity.tfidf(df).groupBy("vid").agg(F.sum(F.col("weight") ** 2).alias("s")).collect()
+    assert all(abs(r.s - 1) < 1e-9 for r in norms)

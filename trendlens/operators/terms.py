@@ -103,6 +103,5 @@ def with_frequencies(rows: DataFrame, unit: str, hashes: str = "hashes", rows_pe
 
 
 def counted_rows(df: DataFrame, unit: str, terms: str = "terms") -> DataFrame:
-    """(unit, terms, n, hashes), one row a document, as a table on the shared store."""
-    rows = count_inside(df, unit, terms)
-    return stage_table(rows.withColumn("hashes", F.transform("terms", lambda t: F.xxhash64(t))), "terms")
+    """(unit, terms, n, hashes), one row a document, from a table on the shared store; hashes are made as it is read, they don't compress."""
+    return stage_table(count_inside(df, unit, terms), "terms").withColumn("hashes", F.transform("terms", lambda t: F.xxhash64(t)))
