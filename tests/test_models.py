@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trendlens.operators import features, forecasting
-from trendlens.operators.metrics import collapse_check
+from trendlens.operators.metrics import collapse_check, regression_metrics
 from trendlens.operators.neighbours import nearest_in_groups
 
 
@@ -129,6 +129,23 @@ def test_search_of_tree_spaces(rows, kind):
     assert len(tried) == 2 and 2 <= best["rounds"] <= 4 and 0.01 <= best["step"] <= 0.3
 
 
+def test_search_scales_a_fold_once(rows, monkeypatch):
+    """As many scalers as folds, however many trials there are, and the scores of models that are fitted from scratch."""
+    fitted, scaler = [], forecasting.fit_scaler
+    monkeypatch.setattr(forecasting, "fit_scaler", lambda *a: fitted.append(1) or scaler(*a))
+    _, tried = forecasting.tune(rows, ["f1", "f2"], "linear", trials=3, k=2)
+    assert len(fitted) == 2
+    folds = features.walk_forward_folds(rows, 2)
+    for t in tried[:1]:
+        scores = []
+        for i in range(2):
+            one = folds.where(F.col("fold") == i)
+            model = forecasting.Forecaster(**t["params"]).fit(one.where("role = 'train'"), ["f1", "f2"], ["linear"])
+            told = model.predict(one.where("role = 'test'").withColumn("y", F.col("label")), "linear", ["y"])
+            scores.append(-(regression_metrics(told).first()["rmse"] ** 2))
+        assert t["score"] == pytest.approx(sum(scores) / 2, rel=1e-9)
+
+
 def test_stored_predictions_are_replaced_by_day(rows, spark, tmp_path):
     days = rows.select("date")
     path = str(tmp_path / "store")

@@ -148,15 +148,23 @@ class Forecaster:
 
     def fit(self, train: DataFrame, names: Sequence[str], kinds: Sequence[str] = ("linear", "boosted")) -> Forecaster:
         """Fit on rows with the feature columns and ``label``."""
-        self.scaler = dict(fit_scaler(train, names, self.scaler_kind).items())
-        self.scaler = {c: self.scaler[c] for c in names}
-        rows = _packed(_vectorised(train, self.scaler, ["label"]))
+        rows = self.prepare(train, names)
+        self.fit_prepared(rows, kinds)
+        rows.unpersist()
+        return self
+
+    def prepare(self, train: DataFrame, names: Sequence[str]) -> DataFrame:
+        """Learn the scaler and return the scaled rows (label, features), cached: they don't depend on a model's parameters."""
+        found = fit_scaler(train, names, self.scaler_kind)
+        self.scaler = {c: found[c] for c in names}
+        return _packed(_vectorised(train, self.scaler, ["label"]))
+
+    def fit_prepared(self, rows: DataFrame, kinds: Sequence[str] = ("linear", "boosted")) -> Forecaster:
         makers = {
             "linear": LinearRegression(regParam=self.alpha, elasticNetParam=self.l1, maxIter=10_000, standardization=False, labelCol="label"),
             "boosted": GBTRegressor(maxIter=self.rounds, maxDepth=self.depth, stepSize=self.step, subsamplingRate=self.subsample, seed=self.seed, labelCol="label"),
         }
         self.models = {kind: makers[kind].fit(rows) for kind in kinds}
-        rows.unpersist()
         return self
 
     def _model(self, kind: str | None):
@@ -526,17 +534,28 @@ def tune(df: DataFrame, names: Sequence[str], kind: str = "linear", trials: int
     """
     space = {**SPACES[kind], **(limits or {})}
     folds = cut_lineage(features.walk_forward_folds(df, k, by))  # once for all trials
-    parts = [(folds.where((F.col("fold") == i) & (F.col("role") == "train")), folds.where((F.col("fold") == i) & (F.col("role") == "test"))) for i in range(k)]
+    parts = [(folds.where((F.col("fold") == i) & (F.col("role") == "train")), folds.where((F.col("fold") == i) & (F.col("role") == "test")).withColumn("y", F.col("label"))) for i in range(k)]
+    ready = []
+    if kind != "spike":  # a fold is scaled once, not once a trial
+        for train, test in parts:
+            caster = Forecaster(seed=seed)
+            rows = caster.prepare(train, names)
+            ready.append((rows, _packed(_vectorised(align_features(test, names, ["y"]), caster.scaler, ["y"]))))
 
     def score(params: dict, fold: int) -> float:
-        train, test = parts[fold]
-        test = test.withColumn("y", F.col("label"))
         if kind == "spike":
+            train, test = parts[fold]
             return metrics.binary_metrics(SpikeDetector(**params, seed=seed).fit(train, names, by).predict(test, ["y"])).first()["f1"] or 0.0
-        caster = Forecaster(**params, seed=seed).fit(train, names, [kind])
-        return -(metrics.regression_metrics(caster.predict(test, kind, ["y"])).first()["rmse"] ** 2)
-
-    tried = search(score, space, trials, k, seed, parallel)
+        train, test = ready[fold]
+        model = Forecaster(**params, seed=seed).fit_prepared(train, [kind]).models[kind]
+        return -(metrics.regression_metrics(model.transform(test).select("y", "prediction")).first()["rmse"] ** 2)
+
+    try:
+        tried = search(score, space, trials, k, seed, parallel)
+    finally:
+        for pair in ready:
+            for rows in pair:
+                rows.unpersist()
     return max((t for t in tried if not t["stopped"]), key=lambda t: t["score"])["params"], tried
 
 
