@@ -5,9 +5,11 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from trendlens.operators import density, neighbours
 from trendlens.relational import follow, scan_ordered
+from trendlens.session import GUESSED, cut_lineage
 
 VEC = "vec_id long, embedding array<double>"
 
@@ -195,3 +197,23 @@ def test_visits_hand_on_a_bounded_number_of_rows():
     parts = neighbours.visits(Captured(), cells, lambda rows, apart: np.ones(apart.shape, bool))
     assert max(map(len, parts)) <= neighbours.BLOCK and sum(map(len, parts)) == 100 * 256
     assert not pd.concat(parts).duplicated(["id", "to"]).any()
+
+
+def guessed_bits(df):
+    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length()
+
+
+def test_sizes_that_spark_guesses_stay_short(spark):
+    """Clusters in chains of 700: ten rounds, in each of which three tables are joined."""
+    n = 1400
+    state = spark.range(n).selectExpr("id AS c", "CASE WHEN id % 700 > 0 THEN id - 1 END AS parent", "CAST(id % 7 AS DOUBLE) AS stability")
+    got = density._best_below(state)
+    assert guessed_bits(got) < 4 * GUESSED
+    best, want = 0.0, {}
+    for c in reversed(range(n)):
+        best = want[c] = max(c % 7, 0.0 if c % 700 == 699 else best)
+    assert {r["c"]: r["value"] for r in got.collect()} == want
+    now = spark.range(100).selectExpr("id AS k", "(id + 1) % 100 AS up")
+    for _ in range(10):
+        now = cut_lineage(now.join(now.toDF("a", "b"), F.col("up") == F.col("a")).join(now.toDF("c", "d"), F.col("b") == F.col("c")).select("k", F.col("d").alias("up")))
+    assert guessed_bits(now) < 4 * GUESSED and now.where("up = (k + 59049) % 100").count() == 100

@@ -171,10 +171,11 @@ def _best_below(state: DataFrame) -> DataFrame:
     """(c, parent, stability, value): ``value`` is the best total stability within each cluster (c, parent, stability).
 
     Clusters without open children are settled; a cluster with one open child is max(hi, add + value of it), and two
-    such functions compose, so long chains shrink by half each round.
+    such functions compose, so long chains shrink by half each round. Rounds are kept as tables: a checkpoint hands on the size
+    that Spark guesses for its plan, the product of what is joined, a number of three times the digits with each round.
     """
     number = F.lit(None).cast("double")
-    now = cut_lineage(state.withColumns({"value": number, "hi": number, "add": number, "next": F.lit(None).cast(state.schema["c"].dataType)}))
+    now = stage_table(state.withColumns({"value": number, "hi": number, "add": number, "next": F.lit(None).cast(state.schema["c"].dataType)}), "best-below")
     while not now.where("value IS NULL").isEmpty():
         below = now.where("parent IS NOT NULL").groupBy(F.col("parent").alias("p")).agg(
             F.coalesce(F.sum("value"), F.lit(0.0)).alias("base"), F.count_if(F.col("value").isNull()).alias("open"), F.max(F.when(F.col("value").isNull(), F.col("c"))).alias("one"))
@@ -184,11 +185,11 @@ def _best_below(state: DataFrame) -> DataFrame:
         unary, fresh = F.col("next").isNotNull(), F.col("next").isNull() & (open_ == 1)
         compose = unary & F.col("n_next").isNotNull()
         value = F.when(unary & F.col("n_value").isNotNull(), F.greatest("hi", F.col("add") + F.col("n_value"))).when(open_ == 0, F.greatest("stability", base))
-        now = cut_lineage(rows.select(
+        now = stage_table(rows.select(
             "c", "parent", "stability", F.coalesce("value", value).alias("value"),
             F.when(compose, F.greatest("hi", F.col("add") + F.col("n_hi"))).when(fresh, F.col("stability")).otherwise(F.col("hi")).alias("hi"),
             F.when(compose, F.col("add") + F.col("n_add")).when(fresh, base).otherwise(F.col("add")).alias("add"),
-            F.when(compose, F.col("n_next")).when(fresh, F.col("one")).otherwise(F.col("next")).alias("next")))
+            F.when(compose, F.col("n_next")).when(fresh, F.col("one")).otherwise(F.col("next")).alias("next")), "best-below")
     return now.select("c", "parent", "stability", "value")
 
 
@@ -197,10 +198,10 @@ def _chosen(clusters: DataFrame) -> DataFrame:
     settled = _best_below(clusters)
     below = settled.where("parent IS NOT NULL").groupBy(F.col("parent").alias("p")).agg(F.sum("value").alias("base"))
     own = F.col("parent").isNotNull() & (F.round(F.col("stability") - F.coalesce("base", F.lit(0.0)), DIGITS) >= 0)
-    now = cut_lineage(settled.join(below, F.col("c") == F.col("p"), "left").select("c", F.col("parent").alias("up"), F.when(own, F.col("c")).alias("pick")))
+    now = stage_table(settled.join(below, F.col("c") == F.col("p"), "left").select("c", F.col("parent").alias("up"), F.when(own, F.col("c")).alias("pick")), "chosen")
     while not now.where("up IS NOT NULL").isEmpty():  # the highest chosen cluster above, over twice the distance each round
         hop = now.toDF("n", "n_up", "n_pick")
-        now = cut_lineage(now.join(hop, F.col("up") == F.col("n"), "left").select("c", F.col("n_up").alias("up"), F.coalesce("n_pick", "pick").alias("pick")))
+        now = stage_table(now.join(hop, F.col("up") == F.col("n"), "left").select("c", F.col("n_up").alias("up"), F.coalesce("n_pick", "pick").alias("pick")), "chosen")
     return now.select("c", "pick")
 
 
