@@ -87,3 +87,13 @@ def test_chain_and_edges(spark):
     chain = {r.word: r.root for r in spelling_variants.variant_groups(spark.createDataFrame(steps, "word string, n long")).collect()}
     assert set(chain.values()) == {"longodcb"} and len(chain) == 5
     assert spelling_variants.variant_groups(spelling_variants.word_counts(df.limit(0))).count() == 0
+
+
+def test_exploded_rows_are_never_broadcast(spark, tmp_path):
+    """A table of words is small on disk; its chunks and deletion variants aren't."""
+    path = str(tmp_path / "words")
+    spark.createDataFrame([(f"{w}abcdefgh",) for w in "qrstuvwxyz"], "word string").write.parquet(path)
+    pairs = spelling_variants.near_pairs(spark.read.parquet(path), heavy=3)  # both ways to meet
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert pairs.count() == 45

@@ -92,6 +92,7 @@ def near_pairs(words: DataFrame, heavy: int = 100) -> DataFrame:
     zero, l, q, p = F.lit(0), F.col("l"), F.col("q"), F.col("p")
     x = keys("x", (zero, q, zero, l), (q, q, q, l), (zero, q, zero, l + 1), (q, q, q + 1, l + 1))
     y = keys("y", (zero, q, zero, l), (q, q, q, l), (zero, p, zero, l), (p + 1, p, p + 1, l))
+    x, y = _shuffled(x), _shuffled(y)
     on = ["gram", "at", "length"]
     crowded = cut_lineage(x.groupBy(*on).agg(F.count("*").alias("words")).where(F.col("words") > heavy).select(*on))
     met = x.join(crowded, on, "left_anti").join(y, on).where("x < y OR length(x) < length")  # words of one length meet both ways
@@ -109,7 +110,12 @@ def _by_deletion(left: DataFrame, right: DataFrame) -> DataFrame:
         cut = F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.concat(F.col("word").substr(F.lit(1), i - 1), F.col("word").substr(i + 1, F.length("word"))))
         return df.select(F.col("word").alias(name), F.explode(F.array_distinct(F.concat(F.array("word"), cut))).alias("variant"))
 
-    return variants(left, "x").join(variants(right, "y"), "variant").select("x", "y")
+    return _shuffled(variants(left, "x")).join(_shuffled(variants(right, "y")), "variant").select("x", "y")
+
+
+def _shuffled(rows: DataFrame) -> DataFrame:
+    """``rows`` for joins that shuffle: Spark takes exploded rows for as small as what they come from, and would broadcast them."""
+    return rows.hint("merge")
 
 
 def _verified(met: DataFrame) -> DataFrame:
@@ -129,13 +135,13 @@ def variant_groups(words: DataFrame, times: int = 10, rounds: int = 4, heavy: in
     both = pairs.select(F.col("a").alias("word"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("word"), F.col("a").alias("other")))
     other = words.select(F.col("word").alias("other"), F.col("n").alias("other_n"))
     best = F.min(F.struct((-F.col("other_n")).alias("minus"), F.col("other").alias("word")))
-    near = both.join(other, "other").groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
-    joined = words.join(near, "word", "left")
+    near = both.join(_shuffled(other), "other").groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
+    joined = words.join(_shuffled(near), "word", "left")
     enough = -F.col("best.minus") >= times * F.col("n")
     judged = joined.select("word", "n", F.when(enough, F.col("best.word")).alias("form"), F.when(enough, -F.col("best.minus")).alias("form_n"), F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"))
     judged = stage_table(judged, "word-forms")
     up = judged.where("form IS NOT NULL").select("word", F.col("form").alias("root"))
     for _ in range(rounds):
         further = up.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        up = cut_lineage(up.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root")))
-    return judged.join(up, "word", "left").select("word", "n", "form", "form_n", "n_near", F.coalesce("root", "word").alias("root"))
+        up = cut_lineage(up.join(_shuffled(further), "root", "left").select("word", F.coalesce("next", "root").alias("root")))
+    return judged.join(_shuffled(up), "word", "left").select("word", "n", "form", "form_n", "n_near", F.coalesce("root", "word").alias("root"))
