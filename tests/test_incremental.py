@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trendlens.operators import topics
+from trendlens.operators import similarity, topics
 from trendlens.plans import batch_job
 from trendlens.relational import connected, keep_one
 from trendlens.sources import readers
@@ -127,3 +127,18 @@ def test_staleness_reads_no_rows(spark, sf):
     plan = readers.newest_change(spark, f"{sf}/events.parquet")._jdf.queryExecution().executedPlan().toString()
     assert "Scan parquet" not in plan and "modificationTime" in plan and "content" not in plan
     assert readers.newest_change(spark, f"{sf}/events.parquet").first()["modified"] is not None
+
+
+def test_topic_vectors_add_signed_terms(spark):
+    rows = [(1, "a b b c"), (2, "a d"), (3, ""), (4, "e f g a a"), (4, "h a")]
+    docs = spark.createDataFrame(rows, "article_id long, doc string")
+    got = batch_job.topic_vectors(docs, 8)
+    assert "try_element_at" not in got._jdf.queryExecution().analyzed().toString()  # a map is searched from its start
+    weights = similarity.tfidf(docs.selectExpr("article_id AS vid", "doc AS text"))
+    want = {}
+    for r in weights.selectExpr("vid", "pmod(xxhash64(term), 8) AS slot", "CASE WHEN xxhash64(1, term) < 0 THEN -weight ELSE weight END AS w").collect():
+        want.setdefault(r["vid"], [0.0] * 8)[r["slot"]] += r["w"]
+    got = got.collect()
+    assert sorted((r["article_id"], r["doc"]) for r in got) == sorted(r for r in rows if r[1])
+    for r in got:
+        assert r["embedding"] == pytest.approx(want[r["article_id"]])

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,13 +27,20 @@ def topic_vectors(df: DataFrame, width: int = 1 << 9) -> DataFrame:
 
     Terms are added to their slot with a sign of their own, so terms that share one cancel instead of looking alike.
     """
-    rows = similarity.tfidf(df.select(F.col("article_id").alias("vid"), F.col("doc").alias("text")))
-    slot = F.pmod(F.xxhash64("term"), F.lit(width)).cast("int")
-    sign = F.when(F.xxhash64(F.lit(1), "term") < 0, -1.0).otherwise(1.0)
-    sums = rows.groupBy("vid", slot.alias("slot")).agg(F.sum(F.col("weight") * sign).alias("w"))
-    packed = sums.groupBy("vid").agg(F.map_from_entries(F.collect_list(F.struct("slot", "w"))).alias("m"))  # at most ``width`` entries
-    dense = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
-    return df.join(packed.select(F.col("vid").alias("article_id"), dense.alias("embedding")), "article_id")
+    rows = similarity.tfidf_rows(df.select(F.col("article_id").alias("vid"), F.col("doc").alias("text"))).where("size(terms) > 0")
+    slots = F.transform("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(width)).cast("int"))
+    signed = F.zip_with("terms", "ws", lambda t, w: w / F.col("norm") * F.when(F.xxhash64(F.lit(1), t) < 0, -1.0).otherwise(1.0))
+    rows = rows.select("vid", slots.alias("slots"), signed.alias("ws")).groupBy("vid").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("slots", "ws")])  # one row an id
+
+    def dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = np.repeat(np.arange(batch.num_rows), np.asarray(batch.column(1).value_lengths()))
+            sums = np.bincount(row * width + batch.column(1).flatten().to_numpy(), batch.column(2).flatten().to_numpy(), batch.num_rows * width)
+            vectors = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * width), pa.array(sums))
+            yield pa.RecordBatch.from_arrays([batch.column(0), vectors], names=["article_id", "embedding"])
+
+    kind = rows.schema["vid"].dataType.simpleString()
+    return df.join(rows.mapInArrow(dense, f"article_id {kind}, embedding array<double>"), "article_id")
 
 
 def add_topics(df: DataFrame, k: int | None = None, stop: list[str] | None = None, min_size: int = 8) -> DataFrame:
